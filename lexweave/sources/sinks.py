@@ -85,7 +85,7 @@ def current_version(spark: SparkSession, base: str) -> dict | None:
     return rows[0].asDict() if rows else None
 
 
-def _publish(df: DataFrame, base: str, sizes: Column, write, empty: str) -> tuple[int, int]:
+def publish(df: DataFrame, base: str, sizes: Column, write, empty: str) -> tuple[int, int]:
     spark = df.sparkSession
     seen = Observation(f"written-{uuid.uuid4().hex[:8]}")
     counted = df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(sizes).alias("size"))
@@ -117,7 +117,7 @@ def _write_text(rows: DataFrame, order: str, body: Column):
 def write_stories(df: DataFrame, base: str, order: str, text: str = "text") -> tuple[int, int]:
     """Publish a story corpus; returns (stories, characters)."""
     rows = story_rows(df, order, text)
-    return _publish(
+    return publish(
         rows, base, F.col("n_chars"), _write_text(rows, order, F.col("chunk")),
         "input corpus is empty",
     )
@@ -126,7 +126,7 @@ def write_stories(df: DataFrame, base: str, order: str, text: str = "text") -> t
 def write_text_lines(df: DataFrame, base: str, order: str, text: str = "text") -> tuple[int, int]:
     """Publish raw lines, empty ones included; returns (lines, characters)."""
     rows = line_rows(df, order, text)
-    return _publish(
+    return publish(
         rows, base, F.col("n_chars"), _write_text(rows, order, F.col("chunk")),
         "input text records are empty",
     )
@@ -143,14 +143,14 @@ def write_json_records(
         validate(df)
     rows = json_rows(df, order, *fields)
     body = F.concat("json", F.lit("\n"))
-    return _publish(
+    return publish(
         rows, base, F.col("n_bytes") + 1, _write_text(rows, order, body), "input records are empty"
     )
 
 
 def write_table(df: DataFrame, base: str, sizes: Column, empty: str) -> tuple[int, int]:
     """Publish a Parquet table under the same rules."""
-    return _publish(df, base, sizes, lambda d, path: d.write.parquet(path), empty)
+    return publish(df, base, sizes, lambda d, path: d.write.parquet(path), empty)
 
 
 def read_published(spark: SparkSession, base: str, fmt: str = "text") -> DataFrame:
