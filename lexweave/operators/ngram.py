@@ -9,31 +9,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def ngram_rows(table: DataFrame, *keys: str, boundary: int | None = None) -> DataFrame:
-    """``keys, pos, c2, c1, token``: every token with the two before it.
-
-    A row starts afresh (null context) unless ``boundary`` names the token every earlier
-    row ends with, as exported stories do; then it counts as the token before.
-    """
-    start = F.lit(boundary).cast("int") if boundary is not None else F.lit(None).cast("int")
+def _grams(context: Column, ids: Column) -> Column:
+    """``pos, c2, c1, token`` of each token in ``ids``, with ``context`` before them."""
+    tokens, shift = F.concat(context, ids), F.size(context)
 
     def at(i: Column) -> Column:
-        return F.when(i >= 0, F.get("ids", i)).when(i == -1, start)
+        return F.when(i >= 0, F.get(tokens, i))
 
-    n = F.size("ids")
-    grams = F.when(
-        n > 0,
+    return F.when(
+        F.size(ids) > 0,
         F.transform(
-            F.sequence(F.lit(0), n - 1),
+            F.sequence(F.lit(0), F.size(ids) - 1),
             lambda i: F.struct(
                 i.alias("pos"),
-                F.when(i > 0, at(i - 2)).alias("c2"),
-                at(i - 1).alias("c1"),
-                F.get("ids", i).alias("token"),
+                at(i + shift - 2).alias("c2"),
+                at(i + shift - 1).alias("c1"),
+                F.get(ids, i).alias("token"),
             ),
         ),
     )
-    return table.select(*keys, F.explode(grams).alias("g")).select(*keys, "g.*")
+
+
+def ngram_rows(table: DataFrame, *keys: str, context: Column | None = None) -> DataFrame:
+    """``keys, pos, c2, c1, token``: every token with the two before it.
+
+    ``context`` is an array of the tokens before a row; exported stories all follow the
+    same end marker, so a stream needs no look at the row before.
+    """
+    before = F.array().cast("array<int>") if context is None else context
+    rows = table.select(*keys, "ids", before.alias("__context"))
+    grams = _grams(F.col("__context"), F.col("ids"))
+    return rows.select(*keys, F.explode(grams).alias("g")).select(*keys, "g.*")
 
 
 def ngram_counts(grams: DataFrame, *keys: str) -> DataFrame:
@@ -119,17 +125,7 @@ def continuation_rows(items: DataFrame, *keys: str) -> DataFrame:
         F.slice("prompt_ids", F.greatest(F.lit(1), F.size("prompt_ids") - 1), F.lit(2)),
     ).otherwise(F.raise_error(F.lit("prompt and candidate continuations cannot be empty")))
     rows = items.select(*keys, checked.alias("__tail"), "candidate_ids")
-    sequence = F.concat("__tail", "candidate_ids")
-    offset = F.size("__tail")
-    grams = F.transform(
-        F.sequence(F.lit(0), F.size("candidate_ids") - 1),
-        lambda i: F.struct(
-            i.alias("pos"),
-            F.when(i + offset >= 2, F.get(sequence, i + offset - 2)).alias("c2"),
-            F.get(sequence, i + offset - 1).alias("c1"),
-            F.get("candidate_ids", i).alias("token"),
-        ),
-    )
+    grams = _grams(F.col("__tail"), F.col("candidate_ids"))
     return rows.select(*keys, F.explode(grams).alias("g")).select(*keys, "g.*")
 
 

@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from . import instruct_queries, text_queries, token_queries
+from . import (
+    choice_queries,
+    eval_queries,
+    instruct_queries,
+    sampling_queries,
+    text_queries,
+    token_queries,
+)
 
-_MODULES = (text_queries, token_queries, instruct_queries)
+_MODULES = (
+    text_queries,
+    token_queries,
+    instruct_queries,
+    eval_queries,
+    choice_queries,
+    sampling_queries,
+)
 
 
 def queries() -> dict:
