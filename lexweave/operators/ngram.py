@@ -8,28 +8,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
+
 
 def _grams(context: Column, ids: Column) -> Column:
-    """``pos, c2, c1, token`` of each token in ``ids``, with ``context`` before them."""
-    tokens, shift = F.concat(context, ids), F.size(context)
-
-    def at(i: Column) -> Column:
-        return F.when(i >= 0, F.get(tokens, i))
-
-    return F.when(
-        F.size(ids) > 0,
-        F.transform(
-            F.sequence(F.lit(0), F.size(ids) - 1),
-            lambda i: F.struct(
-                i.alias("pos"),
-                at(i + shift - 2).alias("c2"),
-                at(i + shift - 1).alias("c1"),
-                F.get(ids, i).alias("token"),
-            ),
-        ),
+    """``c2, c1, token`` of each token in ``ids``, with ``context`` (two at most) before.
+
+    Three shifted slices side by side; the work is linear in the row.
+    """
+    missing = F.array_repeat(F.lit(None).cast("int"), F.lit(2) - F.size(context))
+    tokens, n = F.concat(missing, context, ids), F.size(ids)
+    return F.arrays_zip(
+        F.slice(tokens, F.lit(1), n).alias("c2"),
+        F.slice(tokens, F.lit(2), n).alias("c1"),
+        ids.alias("token"),
     )
 
 
+def _exploded(rows: DataFrame, keys: tuple[str, ...], grams: Column) -> DataFrame:
+    exploded = rows.select(*keys, F.posexplode(grams).alias("pos", "g"))
+    names = zip(("c2", "c1", "token"), exploded.schema["g"].dataType.names)
+    return exploded.select(*keys, "pos", *[F.col("g")[old].alias(new) for new, old in names])
+
+
 def ngram_rows(table: DataFrame, *keys: str, context: Column | None = None) -> DataFrame:
     """``keys, pos, c2, c1, token``: every token with the two before it.
 
@@ -38,8 +39,7 @@ def ngram_rows(table: DataFrame, *keys: str, context: Column | None = None) -> D
     """
     before = F.array().cast("array<int>") if context is None else context
     rows = table.select(*keys, "ids", before.alias("__context"))
-    grams = _grams(F.col("__context"), F.col("ids"))
-    return rows.select(*keys, F.explode(grams).alias("g")).select(*keys, "g.*")
+    return _exploded(rows, keys, _grams(F.col("__context"), F.col("ids")))
 
 
 def ngram_counts(grams: DataFrame, *keys: str) -> DataFrame:
@@ -53,6 +53,11 @@ class NgramModel:
     The longest context seen in training decides: two tokens, one token, none.
     """
 
+    @classmethod
+    def fit(cls, grams: DataFrame, vocab_size: int, k: float = 0.1) -> "NgramModel":
+        """Count once, keep the counts in shared storage, use them many times."""
+        return cls(materialize(ngram_counts(grams), "ngrams"), vocab_size, k)
+
     def __init__(self, counts: DataFrame, vocab_size: int, k: float = 0.1):
         if k <= 0:
             raise ValueError("k must be positive")
@@ -125,8 +130,7 @@ def continuation_rows(items: DataFrame, *keys: str) -> DataFrame:
         F.slice("prompt_ids", F.greatest(F.lit(1), F.size("prompt_ids") - 1), F.lit(2)),
     ).otherwise(F.raise_error(F.lit("prompt and candidate continuations cannot be empty")))
     rows = items.select(*keys, checked.alias("__tail"), "candidate_ids")
-    grams = _grams(F.col("__tail"), F.col("candidate_ids"))
-    return rows.select(*keys, F.explode(grams).alias("g")).select(*keys, "g.*")
+    return _exploded(rows, keys, _grams(F.col("__tail"), F.col("candidate_ids")))
 
 
 def score_continuations(items: DataFrame, model: NgramModel, *keys: str) -> DataFrame:

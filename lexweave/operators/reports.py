@@ -63,7 +63,7 @@ def compare_runs(a: DataFrame, b: DataFrame, key: str, metric: str, targets: str
         "value_a",
         "value_b",
         (F.col("value_b") - F.col("value_a")).alias("difference"),
-        ((F.col("value_b") - F.col("value_a")) / F.col("value_a")).alias("relative_change"),
+        F.try_divide(F.col("value_b") - F.col("value_a"), F.col("value_a")).alias("relative_change"),
         (F.col("targets_a") == F.col("targets_b")).alias("same_targets"),
     )
 

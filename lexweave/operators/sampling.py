@@ -85,9 +85,10 @@ def batch_generate(
     )
     for step in range(max_new_tokens):
         draw = uniform_draw(F.col("seed").cast("string"), F.lit(str(step)))
-        token = pick(F.coalesce("candidates", default), draw)
+        token = pick(F.col("candidates"), draw)
         state = (
             state.join(table, "last", "left")
+            .withColumn("candidates", F.coalesce("candidates", default))
             .withColumn("token", F.when(~F.col("done"), token))
             .select(
                 key,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import CACHE_VERSION, INT32_VOCAB, UINT16_VOCAB
 from ..functions.text import hex_to_long, normalize_text, story_chunk, uniform_draw
+from ..functions.tokens import byte_ids, byte_token_count
 from ..sources import sinks
 from .encoding import encode_corpus
 from .ordering import ID_SHIFTS, running_before
@@ -18,6 +19,13 @@ def story_tokens(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id") -
         F.length("text") > 0
     )
     chunks = stories.withColumn("text", story_chunk(F.col("text")))
+    if not vocabulary.merges:
+        # counted apart from the array, so plans that need only lengths never build it
+        return chunks.select(
+            key,
+            byte_ids(F.col("text")).alias("ids"),
+            byte_token_count(F.col("text")).cast("bigint").alias("n_tokens"),
+        )
     return with_counts(encode_corpus(chunks, vocabulary, key))
 
 

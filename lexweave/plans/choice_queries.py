@@ -9,7 +9,7 @@ from ..functions import prompts as P
 from ..functions.tokens import byte_ids, byte_token_count, take_last
 from ..operators import choice_eval as C
 from ..operators import reports as R
-from ..operators.ngram import NgramModel, ngram_counts, ngram_rows, score_continuations
+from ..operators.ngram import NgramModel, ngram_rows, score_continuations
 from ..operators.ordering import rank_before
 from ..operators.token_tables import story_tokens
 from ..operators.vocabulary import Vocabulary
@@ -204,7 +204,7 @@ def corpus_model(spark, sf) -> NgramModel:
     first = stream.agg(F.min("doc_id")).scalar()
     marker = F.array(F.lit(EOS_ID), F.lit(NEWLINE_ID))
     context = F.when(F.col("doc_id") > first, marker).otherwise(F.array().cast("array<int>"))
-    return NgramModel(ngram_counts(ngram_rows(stream, context=context)), BYTE_VOCAB_SIZE)
+    return NgramModel.fit(ngram_rows(stream, context=context), BYTE_VOCAB_SIZE)
 
 
 def continuation_items(spark, sf):
@@ -219,7 +219,7 @@ def continuation_items(spark, sf):
 
 _WHOLE = f"""train as (select tok, lag(tok) over (order by pos) as c1, lag(tok, 2) over (order by pos) as c2 from tokens),
 {_MODEL}"""
-_CONTINUED = f"""{_MODED.replace(S.CHOICE.strip(), S.CHOICE.strip(), 1)}, {S.STREAM.strip()}, {_WHOLE},
+_CONTINUED = f"""{_MODED}, {S.STREAM.strip()}, {_WHOLE},
 cand as (select idx, l - 1 as label_index, {S.ids('right(prompt, 2)')} as tail,
     {S.ids("case when mode = 'instruction' then '' else ' ' end || (['A', 'B', 'C', 'D'])[l]")} as c
   from asked, range(1, 5) r(l)),
@@ -351,7 +351,7 @@ _Z = "1.959964::DOUBLE"
     "wilson_interval",
     f"""with {S.PREDICTED}, {_SUBJECTS}, q as (select *, total::DOUBLE as n, correct / total::DOUBLE as p from subj)
         select subject, total, correct,
-          round((p + {_Z}*{_Z}/(2*n) - {_Z}*sqrt(p*(1-p)/n + {_Z}*{_Z}/(4*n*n))) / (1 + {_Z}*{_Z}/n), 6) as wilson_low,
+          round((p + {_Z}*{_Z}/(2*n) - {_Z}*sqrt(p*(1-p)/n + {_Z}*{_Z}/(4*n*n))) / (1 + {_Z}*{_Z}/n), 6) + 0.0::DOUBLE as wilson_low,
           round((p + {_Z}*{_Z}/(2*n) + {_Z}*sqrt(p*(1-p)/n + {_Z}*{_Z}/(4*n*n))) / (1 + {_Z}*{_Z}/n), 6) as wilson_high,
           round(p - 0.25::DOUBLE, 6) as gap_to_chance from q""",
 )

@@ -133,16 +133,13 @@ def _side(spark, sf, name: str):
 
 
 def trained_model(spark, sf) -> NgramModel:
-    return NgramModel(ngram_counts(_side(spark, sf, "train")), BYTE_VOCAB_SIZE)
+    return NgramModel.fit(_side(spark, sf, "train"), BYTE_VOCAB_SIZE)
 
 
 _SIDES = f"""cut as (select floor(n * {FRACTION}::DOUBLE)::BIGINT as c from tot),
 sides as (select t.*, pos >= c as held from tokens t, cut),
-grams as (select s.*, d.doc_id, lag(tok, 2) over w as c2, lag(tok) over w as c1,
-    row_number() over w - 1 as side_pos
-  from (select s.*, (select c from cut) from sides s) s
-  join off d on s.pos >= d.start_pos and s.pos < d.start_pos + d.n_tokens
-  window w as (partition by held order by pos))"""
+grams as (select *, lag(tok, 2) over w as c2, lag(tok) over w as c1, row_number() over w - 1 as side_pos
+  from sides window w as (partition by held order by pos))"""
 
 _MODEL = """g1 as (select tok, count(*) as n1 from train group by 1),
 tt as (select sum(n1)::DOUBLE as m1 from g1),

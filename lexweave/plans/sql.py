@@ -60,8 +60,8 @@ st as (select doc_id, list_concat({ids('text')}, [202, 2, 202]) as ids from docu
 off as (select doc_id, ids, len(ids)::BIGINT as n_tokens,
     (sum(len(ids)) over (order by doc_id) - len(ids))::BIGINT as start_pos from st),
 tot as (select sum(n_tokens)::BIGINT as n from off),
-tokens as (select start_pos + i as pos, tok from
-    (select start_pos, unnest(ids) as tok, generate_subscripts(ids, 1) - 1 as i from off))"""
+tokens as (select doc_id, start_pos + i as pos, tok from
+    (select doc_id, start_pos, unnest(ids) as tok, generate_subscripts(ids, 1) - 1 as i from off))"""
 
 # The same offsets from byte lengths alone.
 OFFSETS = """
