@@ -74,8 +74,11 @@ def symbols_to_ids(symbols: Column) -> Column:
 
 
 def byte_ids(text: Column) -> Column:
-    """Token ids under the merge-free (byte alphabet) vocabulary."""
-    return symbols_to_ids(byte_symbols(text))
+    """Token ids under the merge-free (byte alphabet) vocabulary.
+
+    Its symbols lie below the surrogate gap, so a plain character split will do.
+    """
+    return F.transform(F.split(byte_symbols(text), ""), lambda c: F.ascii(c) - _BASE)
 
 
 def byte_token_count(text: Column) -> Column:

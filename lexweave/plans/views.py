@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.token_tables import story_tokens, token_offsets
 from ..operators.vocabulary import Vocabulary
+from ..session import materialize, spread
 from ..sources.corpus import read_documents
 
 NEWLINE_ID = 202
@@ -16,7 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_documents(spark, f"{sf_dir}/documents.parquet")
+    """The corpus; its single file is spread over the cores."""
+    return spread(read_documents(spark, f"{sf_dir}/documents.parquet"), "doc_id")
 
 
 def instruction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,14 +64,22 @@ def pseudo_scores(index: Column, salt: int = 0) -> Column:
     return F.array(*[score(l) for l in range(4)])
 
 
+_streams: dict[tuple[str, str], DataFrame] = {}
+
+
 def story_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-token stream of the exported corpus: ``doc_id, ids, n_tokens, start_pos``.
 
-    The token counts are known before the arrays are built.
+    Written once per session and folder, like a token cache; readers take the columns
+    they need.
     """
-    return token_offsets(story_tokens(documents(spark, sf_dir), Vocabulary()))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _streams:
+        stream = token_offsets(story_tokens(documents(spark, sf_dir), Vocabulary()))
+        _streams[key] = materialize(stream, "story-stream")
+    return _streams[key]
 
 
 def byte_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets of the same stream without the token arrays."""
-    return story_stream(spark, sf_dir).drop("ids")
+    """Offsets of the same stream, straight from the documents and without token arrays."""
+    return token_offsets(story_tokens(documents(spark, sf_dir), Vocabulary()).drop("ids"))
