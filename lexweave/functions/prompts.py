@@ -64,17 +64,23 @@ def choice_example(
     return F.concat(F.concat_ws("\n", *lines, closing), F.lit("\n\n"))
 
 
+def choice_header(subject: Column) -> Column:
+    return F.concat(
+        F.lit(CHOICE_HEADER), F.replace(subject, F.lit("_"), F.lit(" ")), F.lit(".\n\n")
+    )
+
+
+def choice_question(question: Column, choices: Column) -> Column:
+    """The question to answer, without trailing blanks."""
+    return rstrip(choice_example(question, choices))
+
+
 def choice_prompt(
     subject: Column, question: Column, choices: Column, shots: Column | None = None
 ) -> Column:
     """Header, the demonstration texts in ``shots`` (array of blocks), then the question."""
-    header = F.concat(
-        F.lit(CHOICE_HEADER), F.replace(subject, F.lit("_"), F.lit(" ")), F.lit(".\n\n")
-    )
-    body = rstrip(choice_example(question, choices))
-    if shots is None:
-        return F.concat(header, body)
-    return F.concat(header, F.array_join(shots, ""), body)
+    shown = F.lit("") if shots is None else F.array_join(shots, "")
+    return F.concat(choice_header(subject), shown, choice_question(question, choices))
 
 
 def in_mode(prompt: Column, mode: Column) -> Column:

@@ -11,6 +11,7 @@ from ..constants import EOS_TOKEN, SPECIAL_TOKENS, WORD_PATTERN
 # inner run of blanks stays linear.
 _BLANK = r"[\s\x1c-\x1f]"
 _STRIP = rf"(?U)\A{_BLANK}++|(?<!{_BLANK}){_BLANK}++\z"
+_SOLID = r"(?U)[^\s\x1c-\x1f]"
 _RSTRIP = rf"(?U)(?<!{_BLANK}){_BLANK}++\z"
 _SPECIAL = "<(?:" + "|".join(t[1:-1] for t in SPECIAL_TOKENS) + ")>"
 _SPECIAL_EDGE = rf"(?={_SPECIAL})|(?<={_SPECIAL})"
@@ -34,7 +35,8 @@ def normalize_text(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return F.length(strip(text)) == 0
+    """Nothing but white space; stops at the first character that is not."""
+    return ~F.rlike(text, F.lit(_SOLID))
 
 
 def story_chunk(norm: Column) -> Column:

@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import CHOICE_LABELS
-from ..functions.prompts import answer_continuation, answer_label, choice_example, choice_prompt, in_mode
+from ..functions.prompts import (
+    answer_continuation,
+    answer_label,
+    choice_example,
+    choice_header,
+    choice_question,
+    in_mode,
+)
 from .ordering import rank_before, running_before
 
 
@@ -83,26 +90,46 @@ def require_demonstrations(test: DataFrame, dev: DataFrame, shots: int) -> DataF
     return with_demonstrations(test, dev, shots)
 
 
-def _prompt(k: Column, mode: Column) -> Column:
-    shots = F.slice("demos", F.lit(1), k)
-    return in_mode(choice_prompt(F.col("subject"), F.col("question"), F.col("choices"), shots), mode)
+def _parts() -> tuple[Column, Column]:
+    """What stands before and after the demonstrations."""
+    return choice_header(F.col("subject")), choice_question(F.col("question"), F.col("choices"))
+
+
+def _prompt(head: Column, tail: Column, k: Column, mode: Column) -> Column:
+    shots = F.array_join(F.slice("demos", F.lit(1), k), "")
+    return in_mode(F.concat(head, shots, tail), mode)
 
 
 def fit_few_shot(
     df: DataFrame, block_size: int, mode: Column, measure: Callable[[Column], Column]
 ) -> DataFrame:
     """Keep as many leading demonstrations as fit: ``prompt, effective_shots,
-    prompt_left_truncated, prompt_size``. ``measure`` is a column expression."""
-    def size(k: Column) -> Column:
-        return measure(_prompt(k, mode)).cast("int")
-
-    fitting = F.filter(F.sequence(F.lit(0), F.size("demos")), lambda k: size(k) <= block_size)
-    used = F.coalesce(F.array_max(fitting), F.lit(0))
-    rows = df.withColumn("effective_shots", used).withColumn(
-        "prompt", _prompt(F.col("effective_shots"), mode)
+    prompt_left_truncated, prompt_size``. ``measure`` is a column expression.
+
+    The one-item ``transform`` names the prompt's parts, so a row formats its question
+    once and not once per shot count.
+    """
+    head, tail = _parts()
+
+    def tries(p: Column) -> Column:
+        def attempt(k: Column) -> Column:
+            prompt = _prompt(p["head"], p["tail"], k, mode)
+            return F.struct(k.alias("k"), measure(prompt).cast("int").alias("size"))
+
+        return F.transform(F.sequence(F.lit(0), F.size("demos")), attempt)
+
+    parts = F.array(F.struct(head.alias("head"), tail.alias("tail")))
+    rows = df.withColumn("__tries", F.explode(F.transform(parts, tries)))
+    fitting = F.filter("__tries", lambda t: t["size"] <= block_size)
+    best = F.coalesce(F.try_element_at(fitting, F.lit(-1)), F.get("__tries", F.lit(0)))
+    rows = rows.withColumn("__best", best)
+    return rows.select(
+        *df.columns,
+        F.col("__best.k").alias("effective_shots"),
+        _prompt(head, tail, F.col("__best.k"), mode).alias("prompt"),
+        F.col("__best.size").alias("prompt_size"),
+        (F.col("__best.size") > block_size).alias("prompt_left_truncated"),
     )
-    rows = rows.withColumn("prompt_size", measure(F.col("prompt")).cast("int"))
-    return rows.withColumn("prompt_left_truncated", F.col("prompt_size") > block_size)
 
 
 def fit_few_shot_tokens(
@@ -113,7 +140,7 @@ def fit_few_shot_tokens(
     Every row is measured at each of its few shot counts; shot counts are configuration.
     """
     tries = df.withColumn("k", F.explode(F.sequence(F.lit(0), F.size("demos"))))
-    tries = tries.withColumn("prompt", _prompt(F.col("k"), mode)).withColumn(
+    tries = tries.withColumn("prompt", _prompt(*_parts(), F.col("k"), mode)).withColumn(
         "prompt_size", count_tokens(F.col("prompt"))
     )
     fits = F.col("prompt_size") <= block_size

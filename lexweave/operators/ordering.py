@@ -44,7 +44,8 @@ def running_before(
     """Add ``out``: the aggregate of ``value`` over all rows before this one.
 
     Order is ``key`` (bigint), then ``ties``; the two must be unique inside a group.
-    A first row gets 0 for sums and null for min/max.
+    Key and group columns must not be null. A first row gets 0 for sums and null for
+    min/max.
     """
     aggregate, combine = _KINDS[kind]
     levels = [f"__b{i}" for i in range(len(shifts))]
@@ -73,9 +74,8 @@ def running_before(
 
 
 def _join_offsets(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = right.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__p")
-    match = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-    return left.join(renamed, match, "left").drop(*[f"__k_{k}" for k in keys])
+    """The left side is already partitioned by ``keys`` for its window and stays put."""
+    return left.join(right.select(*keys, "__p"), keys, "left")
 
 
 def rank_before(df: DataFrame, key: str, out: str, **options) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import CACHE_VERSION, INT32_VOCAB, UINT16_VOCAB
-from ..functions.text import hex_to_long, normalize_text, story_chunk, uniform_draw
+from ..functions.text import hex_to_long, is_blank, normalize_text, story_chunk, uniform_draw
 from ..functions.tokens import byte_ids, byte_token_count
 from ..sources import sinks
 from .encoding import encode_corpus
@@ -15,10 +15,9 @@ from .vocabulary import Vocabulary
 
 def story_tokens(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id") -> DataFrame:
     """``key, ids, n_tokens`` of the exported form of every non-empty story."""
-    stories = docs.select(key, normalize_text(F.col("text")).alias("text")).filter(
-        F.length("text") > 0
+    chunks = docs.filter(~is_blank(F.col("text"))).select(
+        key, story_chunk(normalize_text(F.col("text"))).alias("text")
     )
-    chunks = stories.withColumn("text", story_chunk(F.col("text")))
     if not vocabulary.merges:
         # counted apart from the array, so plans that need only lengths never build it
         return chunks.select(
@@ -36,7 +35,11 @@ def with_counts(encoded: DataFrame) -> DataFrame:
 def token_offsets(
     table: DataFrame, key: str = "doc_id", size: str = "n_tokens", shifts=ID_SHIFTS
 ) -> DataFrame:
-    """Add ``start_pos``, the position of a row's first token in the whole stream."""
+    """Add ``start_pos``, the position of a row's first token in the whole stream.
+
+    The sizes are read twice (bucket totals, then rows): give it a stored table, or
+    lengths that are cheap to compute.
+    """
     placed = running_before(table, key, F.col(size), "start_pos", shifts=shifts)
     return placed.withColumn("start_pos", F.col("start_pos").cast("bigint"))
 

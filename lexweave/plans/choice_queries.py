@@ -11,13 +11,11 @@ from ..operators import choice_eval as C
 from ..operators import reports as R
 from ..operators.ngram import NgramModel, ngram_rows, score_continuations
 from ..operators.ordering import rank_before
-from ..operators.token_tables import story_tokens
-from ..operators.vocabulary import Vocabulary
 from ..sources import records
 from . import sql as S
 from .eval_queries import _JOIN_MODEL, _LOGP, _MODEL
 from .instruct_queries import _PLAIN
-from .views import NEWLINE_ID, choice_records, documents, pseudo_scores
+from .views import NEWLINE_ID, choice_records, pseudo_scores, story_stream
 
 QUERIES, ORACLES = {}, {}
 SHOTS, BLOCK = 3, 8000
@@ -198,23 +196,25 @@ def left_truncate(spark, sf):
     )
 
 
+_models: dict[tuple[str, str], NgramModel] = {}
+
+
 def corpus_model(spark, sf) -> NgramModel:
-    """N-gram model of the whole exported corpus."""
-    stream = story_tokens(documents(spark, sf), Vocabulary())
-    first = stream.agg(F.min("doc_id")).scalar()
-    marker = F.array(F.lit(EOS_ID), F.lit(NEWLINE_ID))
-    context = F.when(F.col("doc_id") > first, marker).otherwise(F.array().cast("array<int>"))
-    return NgramModel.fit(ngram_rows(stream, context=context), BYTE_VOCAB_SIZE)
+    """N-gram model of the whole exported corpus, fitted once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _models:
+        stream = story_stream(spark, sf)
+        marker = F.array(F.lit(EOS_ID), F.lit(NEWLINE_ID))
+        context = F.when(F.col("start_pos") > 0, marker).otherwise(F.array().cast("array<int>"))
+        _models[key] = NgramModel.fit(ngram_rows(stream, context=context), BYTE_VOCAB_SIZE)
+    return _models[key]
 
 
 def continuation_items(spark, sf):
-    rows = C.candidates(asked(spark, sf), F.col("mode"))
-    return rows.select(
-        "idx",
-        "label_index",
-        byte_ids(F.col("prompt")).alias("prompt_ids"),
-        byte_ids(F.col("continuation")).alias("candidate_ids"),
-    )
+    """Prompt tokens within the model's context, encoded once per item, and candidates."""
+    context = take_last(byte_ids(F.col("prompt")), CONTEXT)
+    rows = asked(spark, sf).select("idx", "mode", context.alias("prompt_ids"))
+    return C.candidates(rows, F.col("mode")).withColumn("candidate_ids", byte_ids(F.col("continuation")))
 
 
 _WHOLE = f"""train as (select tok, lag(tok) over (order by pos) as c1, lag(tok, 2) over (order by pos) as c2 from tokens),

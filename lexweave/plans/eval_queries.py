@@ -15,7 +15,7 @@ from ..operators.token_tables import contiguous_split
 from . import sql as S
 from .instruct_queries import _CODED, _TARGETS, encoded
 from .token_queries import FRACTION
-from .views import NEWLINE_ID, byte_lengths, story_stream
+from .views import NEWLINE_ID, story_stream
 
 QUERIES, ORACLES = {}, {}
 BLOCK, STRIDE, BATCH = 256, 128, 4
@@ -53,7 +53,7 @@ seqs as (select window_id, context_start, ignored,
     f"with {S.OFFSETS}, {_WINDOWS} select window_id, context_start, target_start, target_end, ignored from win",
 )
 def eval_windows(spark, sf):
-    return E.evaluation_windows(byte_lengths(spark, sf), BLOCK, STRIDE)
+    return E.evaluation_windows(story_stream(spark, sf).drop("ids"), BLOCK, STRIDE)
 
 
 @query(
@@ -85,7 +85,7 @@ def eval_window_tokens(spark, sf):
 )
 def eval_batches(spark, sf):
     windows = E.window_tokens(story_stream(spark, sf), BLOCK, STRIDE)
-    n_windows = E.evaluation_windows(byte_lengths(spark, sf), BLOCK, STRIDE).agg(F.count("*")).scalar()
+    n_windows = E.evaluation_windows(story_stream(spark, sf).drop("ids"), BLOCK, STRIDE).agg(F.count("*")).scalar()
     return E.window_batches(windows, BATCH).select(
         "batch_id",
         "window_id",
@@ -206,7 +206,7 @@ def score_corpus(spark, sf):
 def lm_metrics(spark, sf):
     scored = _scored_held(spark, sf)
     metrics = E.token_weighted_metrics(scored, -F.col("logp") * F.col("n"), F.col("n"))
-    pieces = contiguous_split(byte_lengths(spark, sf), FRACTION).filter(F.col("split") == "validation")
+    pieces = contiguous_split(story_stream(spark, sf).drop("ids"), FRACTION).filter(F.col("split") == "validation")
     start = pieces.agg(F.min("from_pos")).scalar()
     held = pieces.select("n_tokens", (F.col("from_pos") - start).alias("start_pos"))
     report = E.evaluation_report(

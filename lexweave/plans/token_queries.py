@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..constants import EOS_ID, PAD_ID
-from ..functions.text import hex_to_long
 from ..functions.tokens import byte_ids
 from ..operators import token_tables as D
 from ..operators.encoding import decode_ids, encode_corpus
 from ..operators.vocabulary import Vocabulary, required_special_tokens, train_vocabulary
 from ..session import fresh_path
 from . import sql as S
-from .views import byte_lengths, documents, story_stream, table
+from .views import byte_lengths, documents, story_stream
 
 QUERIES, ORACLES = {}, {}
 VOCAB_SIZE = 320
@@ -40,7 +39,7 @@ def learned_vocabulary(spark, sf) -> Vocabulary:
 
 @query("bpe_merges")
 def bpe_merges(spark, sf):
-    return train_vocabulary(documents(spark, sf), VOCAB_SIZE, 2).merge_table(spark)
+    return learned_vocabulary(spark, sf).merge_table(spark)
 
 
 @query("encode_corpus")
@@ -169,7 +168,7 @@ pieces as (select doc_id, 'train' as split, start_pos as from_pos,
     f"""with {S.OFFSETS}, {_PIECES} select doc_id, split, from_pos, n_tokens, "first" from pieces""",
 )
 def contiguous_split(spark, sf):
-    return D.contiguous_split(byte_lengths(spark, sf), FRACTION)
+    return D.contiguous_split(story_stream(spark, sf).drop("ids"), FRACTION)
 
 
 @query(

@@ -81,5 +81,6 @@ def story_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets of the same stream, straight from the documents and without token arrays."""
-    return token_offsets(story_tokens(documents(spark, sf_dir), Vocabulary()).drop("ids"))
+    """Offsets of the same stream without token arrays, from lengths stored first."""
+    lengths = story_tokens(documents(spark, sf_dir), Vocabulary()).drop("ids")
+    return token_offsets(materialize(lengths, "story-lengths"))

@@ -53,7 +53,7 @@ def corpus_profile(df: DataFrame, *by: str) -> DataFrame:
 
 def non_empty_stories(df: DataFrame, text: str = "text") -> DataFrame:
     """Normalised stories; rows with nothing left are dropped."""
-    return df.withColumn(text, normalize_text(F.col(text))).filter(F.length(text) > 0)
+    return df.filter(~is_blank(F.col(text))).withColumn(text, normalize_text(F.col(text)))
 
 
 def first_stories(df: DataFrame, max_stories: int, order: str = "doc_id") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.utils import AnalysisException
 
 from ..constants import REPORT_NOTE, REPORT_SETTINGS, REPORT_TITLE
-from ..functions.text import code_fence, line_chunk, normalize_text, story_chunk
+from ..functions.text import code_fence, is_blank, line_chunk, normalize_text, story_chunk
 
 MANIFEST_SCHEMA = (
     "version BIGINT, path STRING, records BIGINT, size BIGINT, published_at TIMESTAMP"
@@ -22,7 +22,7 @@ MANIFEST_SCHEMA = (
 
 def story_rows(df: DataFrame, order: str, text: str = "text") -> DataFrame:
     """``order, chunk, n_chars``: non-empty stories with their end marker."""
-    norm = df.select(order, normalize_text(F.col(text)).alias("__n")).filter(F.length("__n") > 0)
+    norm = df.filter(~is_blank(F.col(text))).select(order, normalize_text(F.col(text)).alias("__n"))
     return norm.select(order, story_chunk(F.col("__n")).alias("chunk")).withColumn(
         "n_chars", F.length("chunk").cast("bigint")
     )
