@@ -333,10 +333,10 @@ def _store_cache(table: DataFrame, meta: dict, base: str) -> DataFrame:
     spark = table.sparkSession
 
     def write(counted: DataFrame, path: str) -> None:
-        counted.repartitionByRange(F.col(counted.columns[0])).write.parquet(path)
+        counted.write.parquet(path)
         spark.createDataFrame([tuple(meta.values())], _META_SCHEMA).coalesce(1).write.json(
             f"{path}-meta"
         )
 
-    sinks.publish(table, base, F.col("n_tokens"), write, "text corpus is empty")
+    sinks.publish(table, base, F.col("n_tokens"), write, "text corpus is empty", table.columns[0])
     return spark.read.parquet(sinks.current_version(spark, base)["path"])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.utils import AnalysisException
 
 from ..constants import REPORT_NOTE, REPORT_SETTINGS, REPORT_TITLE
+from .corpus import require_corpus
 from ..functions.text import code_fence, is_blank, line_chunk, normalize_text, story_chunk
 
 MANIFEST_SCHEMA = (
@@ -68,6 +69,10 @@ def markdown_header(settings: dict[str, object]) -> str:
     return f"{REPORT_TITLE}\n\n{listed}\n\n{REPORT_NOTE}\n\n"
 
 
+def _chunk_body() -> Column:
+    return F.substring(F.col("chunk"), F.lit(1), F.length("chunk") - 1)
+
+
 # --- publishing ------------------------------------------------------------------
 
 
@@ -85,12 +90,21 @@ def current_version(spark: SparkSession, base: str) -> dict | None:
     return rows[0].asDict() if rows else None
 
 
-def publish(df: DataFrame, base: str, sizes: Column, write, empty: str) -> tuple[int, int]:
+def publish(
+    df: DataFrame, base: str, sizes: Column, save, empty: str, order: str | None = None
+) -> tuple[int, int]:
+    """Write ``df`` with ``save(df, path)`` and publish it; returns (records, size).
+
+    With ``order`` the files are range partitions by that column, sorted inside each.
+    Counts are taken after that exchange, which reads its input twice.
+    """
     spark = df.sparkSession
+    if order is not None:
+        df = df.repartitionByRange(F.col(order)).sortWithinPartitions(order)
     seen = Observation(f"written-{uuid.uuid4().hex[:8]}")
     counted = df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(sizes).alias("size"))
     path = f"{base}/data-{uuid.uuid4().hex}"
-    write(counted, path)
+    save(counted, path)
     records, size = seen.get["n"], seen.get["size"] or 0
     if not records:
         raise ValueError(empty)
@@ -104,22 +118,16 @@ def publish(df: DataFrame, base: str, sizes: Column, write, empty: str) -> tuple
     return int(records), int(size)
 
 
-def _write_text(rows: DataFrame, order: str, body: Column):
-    """Ordered text files: range partitions by the order key, sorted inside each."""
-
-    def write(counted: DataFrame, path: str) -> None:
-        ordered = counted.repartitionByRange(F.col(order)).sortWithinPartitions(order)
-        ordered.select(body.alias("value")).write.option("lineSep", "").text(path)
-
-    return write
+def _save_text(body: Column):
+    """Text files of ``body``, a row without its last newline, which the writer adds."""
+    return lambda df, path: df.select(body.alias("value")).write.text(path)
 
 
 def write_stories(df: DataFrame, base: str, order: str, text: str = "text") -> tuple[int, int]:
     """Publish a story corpus; returns (stories, characters)."""
-    rows = story_rows(df, order, text)
+    rows = story_rows(require_corpus(df, text), order, text)
     return publish(
-        rows, base, F.col("n_chars"), _write_text(rows, order, F.col("chunk")),
-        "input corpus is empty",
+        rows, base, F.col("n_chars"), _save_text(_chunk_body()), "input corpus is empty", order
     )
 
 
@@ -127,8 +135,7 @@ def write_text_lines(df: DataFrame, base: str, order: str, text: str = "text") -
     """Publish raw lines, empty ones included; returns (lines, characters)."""
     rows = line_rows(df, order, text)
     return publish(
-        rows, base, F.col("n_chars"), _write_text(rows, order, F.col("chunk")),
-        "input text records are empty",
+        rows, base, F.col("n_chars"), _save_text(_chunk_body()), "input text records are empty", order
     )
 
 
@@ -142,9 +149,8 @@ def write_json_records(
     if validate is not None:
         validate(df)
     rows = json_rows(df, order, *fields)
-    body = F.concat("json", F.lit("\n"))
     return publish(
-        rows, base, F.col("n_bytes") + 1, _write_text(rows, order, body), "input records are empty"
+        rows, base, F.col("n_bytes") + 1, _save_text(F.col("json")), "input records are empty", order
     )
 
 
