@@ -78,20 +78,30 @@ def byte_ids(text: Column) -> Column:
 
     Its symbols lie below the surrogate gap, so a plain character split will do.
     """
-    return F.transform(F.split(byte_symbols(text), ""), lambda c: F.ascii(c) - _BASE)
+    ids = F.transform(F.split(byte_symbols(text), ""), lambda c: F.ascii(c) - _BASE)
+    # splitting an empty string gives one empty piece
+    return F.when(F.length(text) == 0, F.array().cast("array<int>")).otherwise(ids)
 
 
 def byte_token_count(text: Column) -> Column:
-    """``size(byte_ids(text))`` without building the array."""
-    return F.char_length(byte_symbols(text))
+    """``size(byte_ids(text))`` from lengths alone: a special-token text is one token."""
+    total = F.octet_length(text)
+    for token in SPECIAL_TOKENS:
+        removed = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(token), F.lit("")))
+        total = total - removed / len(token) * (len(token) - 1)
+    return total.cast("int")
 
 
 def adjacent_pairs(symbols: Column) -> Column:
+    """Overlapping two-symbol strings of a word; null below two symbols.
+
+    Short words take substrings; very long ones are split first, which stays linear.
+    """
+    n = F.char_length(symbols) - 1
     chars = symbol_chars(symbols)
-    n = F.size(chars) - 1
-    return F.when(
-        n > 0, F.zip_with(F.slice(chars, 1, n), F.slice(chars, 2, n), lambda a, b: F.concat(a, b))
-    )
+    zipped = F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
+    taken = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(symbols, i, F.lit(2)))
+    return F.when((n > 0) & (n < 128), taken).when(n > 0, zipped)
 
 
 def apply_merges(symbols: Column, merges: list[tuple[int, int, int]]) -> Column:

@@ -107,7 +107,9 @@ def encode_corpus(
         return docs.select(key, byte_ids(F.col(text)).alias("ids"))
 
     found = docs.select(key, F.posexplode(words(F.col(text))).alias("pos", "word"))
-    counts = found.groupBy("word").agg(F.count("*").alias("n"))
+    # replay is CPU-bound, so distinct words are spread evenly however few bytes they are
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = found.groupBy("word").agg(F.count("*").alias("n")).repartition(parts, "word")
     lexicon = materialize(word_lexicon(counts, vocabulary, "n"), "lexicon")
     total = lexicon.agg(F.sum("n")).first()[0] or 0
     is_hot = F.col("n") * HOT_SHARE >= total

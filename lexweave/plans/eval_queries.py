@@ -109,7 +109,7 @@ def batch_score_uniform(spark, sf):
         logp = -math.log(size)
         return lambda ids: np.broadcast_to(logp, (*ids.shape, size))
 
-    scored = E.score_windows(E.window_tokens(story_stream(spark, sf), BLOCK, STRIDE), uniform)
+    scored = E.score_windows(E.window_tokens(story_stream(spark, sf), BLOCK, STRIDE), uniform, rows=32)
     metrics = E.token_weighted_metrics(scored, F.col("nll_sum"), F.col("predictions"))
     return metrics.select(
         "predictions", *[F.round(c, 6).alias(c) for c in ("average_nll", "perplexity", "bits_per_token")]

@@ -24,7 +24,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def instruction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the turn before as input and the assistant's answer as output."""
     turns = Window.partitionBy("conv_id").orderBy("turn")
-    rows = table(spark, sf_dir, "conversations").select(
+    rows = spread(table(spark, sf_dir, "conversations"), "conv_id").select(
         "conv_id",
         "turn",
         "role",

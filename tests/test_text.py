@@ -77,3 +77,10 @@ def test_draws_are_uniform_and_repeatable(spark):
     stats = draws.agg(F.avg("u"), F.min("u"), F.max("u")).first()
     assert abs(stats[0] - 0.5) < 0.02 and 0 <= stats[1] and stats[2] < 1
     assert draws.orderBy("u").collect() == draws.orderBy("u").collect()
+
+
+def test_token_count_is_the_number_of_ids(docs_of):
+    texts = EDGES + ["<eos><eos>x<pad>", "<e<eos>os> <unk>", "<bos", "é<bos>é"]
+    got = apply(docs_of, texts, K.byte_token_count)
+    assert got == apply(docs_of, texts, lambda t: F.size(K.symbols_to_ids(K.byte_symbols(t))))
+    assert apply(docs_of, texts[1:], K.byte_ids)[:8] == apply(docs_of, texts[1:], lambda t: K.symbols_to_ids(K.byte_symbols(t)))[:8]
