@@ -232,6 +232,26 @@ def macro_accuracy(preds: DataFrame) -> DataFrame:
     )
 
 
+def evaluation_report(
+    preds: DataFrame, *, prompt_mode: str, shots: int, limit: int | None = None
+) -> DataFrame:
+    """One summary row of a finished run."""
+    macro = macro_accuracy(preds)
+    truncated = preds.agg(F.count_if("prompt_left_truncated")).scalar()
+    return accuracy_summary(preds).select(
+        F.lit("answer_label_conditional_log_likelihood").alias("scoring"),
+        F.lit(prompt_mode).alias("prompt_mode"),
+        F.lit(shots).alias("requested_shots"),
+        "total",
+        "correct",
+        "accuracy",
+        macro.select("macro_subject_accuracy").scalar().alias("macro_subject_accuracy"),
+        macro.select("subject_count").scalar().alias("subject_count"),
+        truncated.alias("prompt_left_truncated"),
+        F.lit("full_selection" if limit is None else "prefix_smoke_test").alias("evaluation_scope"),
+    )
+
+
 def shots_histogram(preds: DataFrame) -> DataFrame:
     return preds.groupBy("effective_shots").agg(
         F.count("*").alias("n_items"),

@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..constants import CACHE_VERSION, INT32_VOCAB, UINT16_VOCAB
-from ..functions.text import hex_to_long, is_blank, normalize_text, story_chunk, uniform_draw
+from ..constants import CACHE_VERSION, INT32_VOCAB, SPECIAL_TOKENS, UINT16_VOCAB
+from ..functions.text import (
+    hex_to_long,
+    is_blank,
+    line_chunk,
+    normalize_text,
+    story_chunk,
+    uniform_draw,
+)
 from ..functions.tokens import byte_ids, byte_token_count
 from ..sources import sinks
 from .encoding import encode_corpus
@@ -28,6 +35,43 @@ def story_tokens(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id") -
     return with_counts(encode_corpus(chunks, vocabulary, key))
 
 
+def line_blocks(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Raw lines as ``key, text`` rows that encode to the same ids as the joined text.
+
+    A run of white space between two lines is cut before its last character, where
+    pre-tokens always end: that character opens the next row, the rest closes this one.
+    Blank lines join the line before them. A special token ends the run before it, so
+    the run then stays whole.
+    """
+    lead = "(?U)\\A[\\s\\x1c-\\x1f]*"
+    special = "\\A(?:" + "|".join(SPECIAL_TOKENS) + ")"
+    text = F.col("text")
+    solid = (~is_blank(text)).cast("bigint")
+    chunks = lines.select(key, line_chunk(text).alias("text"), solid.alias("solid"))
+    placed = running_before(chunks, key, F.col("solid"), "seen")
+    blocks = placed.groupBy((F.col("seen") + F.col("solid")).alias("block")).agg(
+        F.min(key).alias(key),
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct(key, "text"))), lambda x: x["text"]), ""
+        ).alias("text"),
+    )
+    blocks = blocks.withColumn("lead", F.regexp_extract("text", lead, 0)).withColumn(
+        "rest", F.substring(F.col("text"), F.length("lead") + 1, F.length("text"))
+    )
+    opens = ~F.rlike("rest", F.lit(special))  # takes the last blank of the run before it
+    following = blocks.select(
+        (F.col("block") - 1).alias("block"), F.col("lead").alias("next_lead"), opens.alias("next_opens")
+    )
+    first = blocks.agg(F.min("block")).scalar()
+    # the line before ends with a newline, which is the last blank when there is no lead
+    last_blank = F.when(F.length("lead") > 0, F.substring("lead", -1, 1)).otherwise("\n")
+    prefix = F.when(F.col("block") == first, F.col("lead")).when(opens, last_blank).otherwise("")
+    joined = blocks.join(following, "block", "left")
+    whole = F.concat(prefix, F.col("rest"), F.coalesce("next_lead", F.lit("")))
+    kept = F.when(F.col("next_opens"), F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
+    return joined.select(key, kept.alias("text"))
+
+
 def with_counts(encoded: DataFrame) -> DataFrame:
     return encoded.withColumn("n_tokens", F.size("ids").cast("bigint"))
 

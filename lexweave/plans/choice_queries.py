@@ -283,6 +283,27 @@ def mmlu_summary(spark, sf):
     return C.accuracy_summary(predicted(spark, sf)).withColumn("accuracy", F.round("accuracy", 6))
 
 
+@query(
+    "mmlu_ngram_predictions",
+    f"""with {_CONTINUED}, cs as (select idx, label_index, round(sum(logp), 9) as score from said group by 1, 2),
+        l as (select idx, list(score order by label_index) as s from cs group by 1)
+        select l.idx as "index", answer as gold, (list_position(s, list_max(s)) - 1)::INTEGER as predicted,
+          list_position(s, list_max(s)) - 1 = answer as correct, round(s[1], 6) as score_a, round(s[4], 6) as score_d
+        from l join test on test.idx = l.idx""",
+)
+def mmlu_ngram_predictions(spark, sf):
+    scored = score_continuations(
+        continuation_items(spark, sf), corpus_model(spark, sf), "idx", "label_index"
+    ).withColumn("score", F.round("score", 9))
+    rows = valid(spark, sf, "test").join(C.label_scores(scored, "idx"), "idx")
+    preds = C.predictions(rows)
+    return preds.select(
+        "index", "gold", "predicted", "correct",
+        F.round(F.element_at("choice_log_likelihoods", "A"), 6).alias("score_a"),
+        F.round(F.element_at("choice_log_likelihoods", "D"), 6).alias("score_d"),
+    )
+
+
 _SUBJECTS = """subj as (select subject, count(*) as total, count(*) filter (where correct) as correct,
     count(*) filter (where correct) / count(*)::DOUBLE as accuracy from judged group by subject)"""
 
@@ -306,6 +327,22 @@ def mmlu_macro(spark, sf):
     )
 
 
+@query(
+    "mmlu_report",
+    f"""with {_FIT}, scored as (select test.*, {S.scores()} as s from test),
+        judged as (select *, (list_position(s, list_max(s)) - 1)::INTEGER = answer as correct from scored), {_SUBJECTS}
+        select 'answer_label_conditional_log_likelihood' as scoring, 'completion' as prompt_mode,
+          {SHOTS} as requested_shots, sum(total)::BIGINT as total, sum(correct)::BIGINT as correct,
+          round(sum(correct) / sum(total)::DOUBLE, 6) as accuracy,
+          round(avg(accuracy), 6) as macro_subject_accuracy, count(*) as subject_count,
+          (select count(*) from fit where prompt_left_truncated) as prompt_left_truncated,
+          'full_selection' as evaluation_scope from subj""",
+)
+def mmlu_report(spark, sf):
+    row = C.evaluation_report(full_predictions(spark, sf), prompt_mode="completion", shots=SHOTS)
+    return row.withColumns({c: F.round(c, 6) for c in ("accuracy", "macro_subject_accuracy")})
+
+
 @query(
     "effective_shots",
     f"""with {_FIT} select effective_shots, count(*) as n_items,

@@ -154,6 +154,23 @@ def write_json_records(
     )
 
 
+def write_sample_report(
+    df: DataFrame, base: str, order: str, settings: dict[str, object]
+) -> tuple[int, int]:
+    """Publish the Markdown report: settings first, then one section per sample in order."""
+    sections = markdown_sections(df, order).select(
+        F.col(order).cast("bigint").alias("ord"),
+        F.concat(F.lit("\n"), F.substring(F.col("section"), F.lit(1), F.length("section") - 2)).alias("body"),
+    )
+    opening = df.sparkSession.createDataFrame(
+        [(-(1 << 62), markdown_header(settings).rstrip("\n"))], "ord BIGINT, body STRING"
+    )
+    return publish(
+        opening.unionByName(sections), base, F.length("body") + 1, _save_text(F.col("body")),
+        "no samples", "ord",
+    )
+
+
 def write_table(df: DataFrame, base: str, sizes: Column, empty: str) -> tuple[int, int]:
     """Publish a Parquet table under the same rules."""
     return publish(df, base, sizes, lambda d, path: d.write.parquet(path), empty)

@@ -117,3 +117,18 @@ def test_token_counts(docs_of, learned):
     rows = docs_of(TEXTS).select("doc_id", count("text").alias("n"))
     coded = encoding.encode_corpus(docs_of(TEXTS), learned).select("doc_id", F.size("ids").alias("n"))
     assert sorted(rows.collect()) == sorted(coded.collect())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_lines_encode_like_the_joined_text(docs_of, learned, corpus_texts, seed):
+    from lexweave.operators.token_tables import line_blocks
+
+    pick = random.Random(seed)
+    pieces = ["the hat", " = tea = ", "", " ", "  eat", "neat  ", "\t", "<eos>", " <eos> x", "a<pad>", "　été", "12 "]
+    lines = [pick.choice(pieces) for _ in range(60)]
+    whole = "".join(line + "\n" for line in lines)
+    blocks = line_blocks(docs_of(lines))
+    assert "".join(r.text for r in blocks.orderBy("doc_id").collect()) == whole
+    coded = encoding.encode_corpus(blocks, learned).orderBy("doc_id").collect()
+    want = library(corpus_texts, 300, 1).encode(whole, add_special_tokens=False).ids
+    assert [i for r in coded for i in r.ids] == want
