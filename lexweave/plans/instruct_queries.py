@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from ..constants import PROMPT_WITH_INPUT, PROMPT_WITHOUT_INPUT
 from ..functions.prompts import instruction_prompt
-from ..functions.tokens import byte_ids
-from ..functions.text import normalize_text
 from ..operators import instruction as I
 from ..operators.ordering import rank_before
 from ..operators.token_tables import batches
 from ..operators.vocabulary import Vocabulary
+from ..session import materialize
 from . import sql as S
 from .views import instruction_records
 
@@ -160,8 +159,9 @@ def instruction_stats(spark, sf):
 
 
 def _split_encoded(spark, sf):
+    """Encoded records with their split, stored because ranks read it more than once."""
     rows = I.seeded_split(instruction_records(spark, sf), FRACTION, SEED)
-    return I.encode_records(rows, Vocabulary(), MAX_LENGTH)
+    return materialize(I.encode_records(rows, Vocabulary(), MAX_LENGTH), "instructions")
 
 
 _RANKED = f"""{_SPLIT}, {_CODED},
