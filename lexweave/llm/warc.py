@@ -11,10 +11,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import fresh_path, materialize
-from .common import attach
+from .common import attach, partitions
 
 #: Payloads below this many bytes are stored each time.
 REVISIT_BYTES = 1000
@@ -174,38 +174,33 @@ def unpack(source: Source, at: int) -> tuple[bytes, int]:
     return b"".join(parts), place - len(inflate.unused_data)
 
 
-def _holds(source: Source, at: int, end: int) -> bool:
-    """Whether members follow each other from ``at`` to the end of the range or file.
-
-    A member inside a stored payload looks true by itself, but its chain breaks where the
-    payload ends.
-    """
-    while at < end and at < source.length:
+def follow(source: Source, at: int, end: int) -> int:
+    """Where the chain of members from ``at`` leaves the range; an error if it breaks."""
+    while at < min(end, source.length):
         if head_of(source, at) is None:
-            return False
-        try:
-            _, at = unpack(source, at)
-        except (ValueError, zlib.error):
-            return False
-    return at >= source.length or head_of(source, at) is not None
+            raise ValueError(f"no record at {at}")
+        _, at = unpack(source, at)
+    return at
+
 
+def first_member(source: Source, start: int, end: int) -> tuple[int, int] | None:
+    """The first place in the range from which members follow each other, and where they end.
 
-def first_member(source: Source, start: int, end: int) -> int | None:
-    """The first record that starts in the range: scan for the magic, decode, follow."""
-    if start == 0:
-        return 0 if source.length else None
+    Scan for the magic, decode the record head, follow the chain through the range.
+    """
     at = start
-    while at < end:
+    while at < min(end, source.length):
         data = source.get(at, READ_BYTES)
         found = data.find(MAGIC)
         if found < 0:
             at += max(len(data) - 2, 1)
             continue
         at += found
-        if at >= end:
-            return None
-        if head_of(source, at) is not None and _holds(source, at, end):
-            return at
+        if at < end and head_of(source, at) is not None:
+            try:
+                return at, follow(source, at, end)
+            except (ValueError, zlib.error):
+                pass
         at += 1
     return None
 
@@ -222,11 +217,10 @@ def _plain(value: str | None) -> str | None:
     return value.strip("<>") if value else None
 
 
-def read_range(uri: str, length: int, start: int, end: int) -> Iterator[dict]:
-    """Records that start in ``[start, end)``; the last may reach beyond."""
-    source = Source(uri, length)
-    at = first_member(source, start, end)
-    while at is not None and at < min(end, length):
+def read_range(uri: str, length: int, first: int, end: int) -> Iterator[dict]:
+    """Records from the one at ``first`` that start before ``end``; the last may reach beyond."""
+    source, at = Source(uri, length), first
+    while at < min(end, length):
         data, after = unpack(source, at)
         fields, block = parse(data)
         http, _, payload = block.partition(b"\r\n\r\n")
@@ -259,7 +253,7 @@ def _reader(keep_payload: bool):
         rows, held = [], 0
         for batch in batches:
             for split in batch.to_pylist():
-                for row in read_range(split["path"], split["length"], split["start"], split["end"]):
+                for row in read_range(split["path"], split["length"], split["first"], split["end"]):
                     held += len(row["payload"] or b"") + 200
                     rows.append(row if keep_payload else row | {"payload": None})
                     if held > 8 << 20:
@@ -271,19 +265,63 @@ def _reader(keep_payload: bool):
     return read
 
 
+def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first record of each range, sought or, where it is due, given, and the last one's end."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        for r in rows:
+            source = Source(r["path"], r["length"])
+            if r["due"] is not None:
+                found = r["due"], follow(source, r["due"], r["end"])
+            else:
+                found = first_member(source, r["start"], r["end"]) if r["sought"] else None
+            r["first"], r["after"] = found or (None, None)
+        names = ["path", "length", "start", "end", "first", "after"]
+        kinds = [pa.string(), *[pa.int64()] * 5]
+        yield pa.record_batch([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds)], names)
+
+
+RANGES = "path string, length long, start long, end long, first long, after long"
+
+
+def record_ranges(files: DataFrame, split_bytes: int) -> DataFrame:
+    """Byte ranges of files with the first record each one owns.
+
+    Every range seeks its own first record, all at once. A payload that is an archive itself
+    may hold true records, so neighbours are compared: where one range's last record ends, the
+    next one's first must start. Ranges that disagree are read again from the place that is
+    due, until none does; files without such payloads agree at once.
+    """
+    n = partitions(files.sparkSession)
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
+    ranges = files.filter("length > 0").select("path", F.col("length").cast("long"), F.explode(starts).alias("start"))
+    ranges = ranges.withColumn("end", F.least(F.col("start") + split_bytes, "length"))
+    due = F.when(F.col("start") == 0, F.lit(0).cast("long"))
+    ranges = ranges.withColumn("due", due).withColumn("sought", F.lit(True)).repartition(n, "path", "start")
+    found = materialize(ranges.mapInArrow(_find, RANGES), "warc-ranges")
+    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        place = F.coalesce(F.max("after").over(earlier), F.lit(0))
+        checked = found.withColumn("_place", place)
+        checked = checked.withColumn("due", F.when(F.col("_place") < F.col("end"), F.col("_place")))
+        wrong = ~F.col("due").eqNullSafe(F.col("first"))
+        again = checked.filter(wrong).select("path", "length", "start", "end", "due", F.lit(False).alias("sought"))
+        if again.isEmpty():
+            return found
+        fixed = again.repartition(n, "path", "start").mapInArrow(_find, RANGES)
+        found = materialize(checked.filter(~wrong).select(found.columns).union(fixed), "warc-ranges")
+
+
 def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES, keep_payload: bool = True) -> DataFrame:
     """Records of ``path, length`` files, read by byte ranges in as many tasks as needed.
 
-    A task looks for gzip magic from the start of its range, takes the first place where a
-    record head decodes and whose members follow each other through the range, and owns the
-    records that start inside. Digests of stored payloads are verified; a damaged member stops
-    the job. Empty files have no records. ``member_bytes`` of a file sum to its length.
+    A range owns the records that start inside; see ``record_ranges``. Digests of stored
+    payloads are verified; a damaged member stops the job. Empty files have no records.
+    ``member_bytes`` of a file sum to its length.
     """
-    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
-    splits = files.filter("length > 0").select("path", F.col("length").cast("long"), F.explode(starts).alias("start"))
-    splits = splits.withColumn("end", F.least(F.col("start") + split_bytes, "length"))
-    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return splits.repartition(n, "path", "start").mapInArrow(_reader(keep_payload), RECORDS)
+    ranges = record_ranges(files, split_bytes).filter("first IS NOT NULL")
+    n = partitions(files.sparkSession)
+    return ranges.repartition(n, "path", "start").mapInArrow(_reader(keep_payload), RECORDS)
 
 
 # --- pages ---------------------------------------------------------------------------------
