@@ -19,7 +19,7 @@ from .labelled import TRAINING_ROWS, held_out, training_rows
 BUCKETS = 1 << 18
 STEM = 6
 #: Total weight of the Dirichlet prior, spread like the tokens of all labelled texts.
-PRIOR = 500.0
+PRIOR = 5000.0
 #: Standard errors a log-odds must be away from zero to count.
 CERTAIN = 3.0
 #: What a token that says nothing takes off a segment's score.
@@ -44,17 +44,21 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens by bucket in toxic and other texts of one task."""
+    """Toxic and other texts of one task that hold a token, by bucket.
+
+    A text counts once, so a token that one text repeats is no evidence by itself.
+    """
     counts = np.zeros((2, 2 * BUCKETS), np.int64)
     for batch in batches:
         label = batch.column("label").to_numpy()
         at = 0
         for part in steps(batch.column("text")):
             words, stems, bounds, _ = tokens(part)
-            of = np.repeat(label[at : at + len(part)], np.diff(bounds))
-            for y in (0, 1):
-                for found in (words, stems):
-                    counts[y] += np.bincount(found[of == y], minlength=2 * BUCKETS)
+            of = np.repeat(np.arange(len(part)), np.diff(bounds))
+            for found in (words, stems):
+                once = np.unique(of * (2 * BUCKETS) + found)
+                y = label[at + once // (2 * BUCKETS)]
+                np.add.at(counts, (y, once % (2 * BUCKETS)), 1)
             at += len(part)
     seen = np.flatnonzero(counts.sum(axis=0))
     yield pa.record_batch([pa.array(seen), pa.array(counts[1, seen]), pa.array(counts[0, seen])], ["bucket", "toxic", "other"])
@@ -154,7 +158,7 @@ class Model:
 
 
 def monotone(ones: np.ndarray, all_: np.ndarray) -> np.ndarray:
-    """Shares that never fall, by pooling neighbours that do; empty bins take their neighbours'."""
+    """Shares that never fall, by pooling neighbours that do."""
     pools: list[list[float]] = []
     for a, n in zip(ones, all_):
         pools.append([a, n, 1])
@@ -198,8 +202,9 @@ def fit(rows: DataFrame) -> Model:
     for r in bins:
         ones[r["bin"]], total[r["bin"]] = r["ones"], r["n"]
     share = (ones.sum() + 0.5) / (total.sum() + 1)
-    model.edges = np.arange(BINS) / 8
-    model.chance = monotone(ones + share, total + 1)
+    used = np.flatnonzero(total) if total.any() else np.arange(1)
+    model.edges = used / 8
+    model.chance = monotone(ones[used] + share / 2, total[used] + 0.5)
     return model
 
 
