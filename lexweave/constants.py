@@ -47,8 +47,8 @@ INT32_VOCAB = 2**31
 WILSON_Z = 1.959964
 CHANCE = 0.25
 
-# --- fixed values: Markdown sample report ------------------------------------------
-REPORT_TITLE = "# Qualitative generation samples"
+# --- Markdown sample report --------------------------------------------------------
+REPORT_TITLE = "# Samples of generated text"
 REPORT_SETTINGS = (
     "Checkpoint",
     "Training stage",
@@ -58,6 +58,6 @@ REPORT_SETTINGS = (
     "Maximum new tokens",
 )
 REPORT_NOTE = (
-    "These examples are qualitative observations, not a quantitative "
-    "benchmark. Report the sampling settings alongside any excerpts."
+    "Read these as single draws under the settings above. They measure nothing; "
+    "quote the settings with them."
 )

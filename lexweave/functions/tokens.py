@@ -93,15 +93,11 @@ def byte_token_count(text: Column) -> Column:
 
 
 def adjacent_pairs(symbols: Column) -> Column:
-    """Overlapping two-symbol strings of a word; null below two symbols.
-
-    Short words take substrings; very long ones are split first, which stays linear.
-    """
+    """Overlapping two-symbol strings of a word; null below two symbols. Linear."""
     n = F.char_length(symbols) - 1
     chars = symbol_chars(symbols)
     zipped = F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
-    taken = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(symbols, i, F.lit(2)))
-    return F.when((n > 0) & (n < 128), taken).when(n > 0, zipped)
+    return F.when(n > 0, zipped)
 
 
 def apply_merges(symbols: Column, merges: list[tuple[int, int, int]]) -> Column:

@@ -69,7 +69,7 @@ def _prompts(spark, sf):
     return documents(spark, sf).select(
         "doc_id",
         (F.col("doc_id") + SEED).alias("seed"),
-        F.element_at(byte_ids(F.col("text")), -1).alias("last"),
+        F.try_element_at(byte_ids(F.col("text")), F.lit(-1)).alias("last"),
     )
 
 

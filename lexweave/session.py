@@ -10,8 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dirs: dict[str, str] = {}
 
 
-def local_session(name: str = "lexweave", cpus: int | str = "*") -> SparkSession:
-    """A session for tests and benches; clusters bring their own."""
+def local_session(
+    name: str = "lexweave", cpus: int | str = "*", shared: str | None = None
+) -> SparkSession:
+    """A session for tests and benches; clusters bring their own.
+
+    ``shared`` is the folder for stored tables, a fresh one by default.
+    """
     partitions = "8" if cpus == "*" else str(cpus)
     session = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -22,6 +27,7 @@ def local_session(name: str = "lexweave", cpus: int | str = "*") -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="lexweave-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -54,12 +60,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a table that comes in fewer splits than there are cores.
-
-    A table of many splits is left alone, so large inputs pay no shuffle for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

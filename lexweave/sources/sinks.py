@@ -99,6 +99,8 @@ def publish(
     Counts are taken after that exchange, which reads its input twice.
     """
     spark = df.sparkSession
+    if df.isEmpty():
+        raise ValueError(empty)
     if order is not None:
         df = df.repartitionByRange(F.col(order)).sortWithinPartitions(order)
     seen = Observation(f"written-{uuid.uuid4().hex[:8]}")
@@ -106,8 +108,6 @@ def publish(
     path = f"{base}/data-{uuid.uuid4().hex}"
     save(counted, path)
     records, size = seen.get["n"], seen.get["size"] or 0
-    if not records:
-        raise ValueError(empty)
     last = current_version(spark, base)
     version = (last["version"] if last else 0) + 1
     row = spark.createDataFrame(

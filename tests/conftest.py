@@ -9,8 +9,8 @@ from lexweave.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session("tests", 4)
+def spark(tmp_path_factory):
+    return local_session("tests", 4, str(tmp_path_factory.mktemp("shared")))
 
 
 @pytest.fixture

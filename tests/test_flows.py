@@ -67,6 +67,6 @@ def test_sample_report_file(spark, base):
     )
     sinks.write_sample_report(rows, base, "ord", dict.fromkeys(sinks.REPORT_SETTINGS, "x"))
     text = text_of(spark, base)
-    assert text.startswith("# Qualitative generation samples\n\n- Checkpoint: `x`\n")
-    assert "excerpts.\n\n## p (sample 1, seed 42)\n\nPrompt:\n\n```text\nSay\n```\n\nModel output:" in text
+    assert text.startswith("# Samples of generated text\n\n- Checkpoint: `x`\n")
+    assert "with them.\n\n## p (sample 1, seed 42)\n\nPrompt:\n\n```text\nSay\n```\n\nModel output:" in text
     assert "```text\nHi\n```\n\n## p (sample 2" in text and text.endswith("```text\nHo\n```\n")

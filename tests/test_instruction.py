@@ -137,3 +137,10 @@ def test_padding_to_the_longest_of_a_batch(spark):
     got = I.padded_batches(rows, "rk", 2).orderBy("rk").collect()
     assert [r.tokens for r in got] == [[5, 6], [5, PAD_ID], [9]]
     assert [r.targets for r in got] == [[7, 2], [2, IGNORE_INDEX], [2]]
+
+
+def test_blank_instruction_without_a_response_is_counted(spark):
+    rows = [(1, "  ", "", ""), (2, "Say", "", None), (3, "Say", "", "Hi")]
+    df = spark.createDataFrame(rows, "rec_id BIGINT, instruction STRING, input STRING, output STRING")
+    got = {r.rec_id: r.outcome for r in I.encode_records(df, Vocabulary(), 200).collect()}
+    assert got == {1: "empty_response", 2: "empty_response", 3: "kept"}

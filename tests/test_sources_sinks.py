@@ -148,4 +148,4 @@ def test_markdown_report(spark):
         "Model output:\n\n```text\nHi\n```\n\n"
     )
     settings = dict.fromkeys(sinks.REPORT_SETTINGS, "x")
-    assert sinks.markdown_header(settings).startswith("# Qualitative generation samples\n\n- Checkpoint: `x`\n")
+    assert sinks.markdown_header(settings).startswith("# Samples of generated text\n\n- Checkpoint: `x`\n")
