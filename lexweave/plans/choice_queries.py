@@ -9,12 +9,15 @@ from ..functions import prompts as P
 from ..functions.tokens import byte_ids, byte_token_count, take_last
 from ..operators import choice_eval as C
 from ..operators import reports as R
+from ..operators.encoding import token_count_udf
 from ..operators.ngram import NgramModel, ngram_rows, score_continuations
 from ..operators.ordering import rank_before
 from ..sources import records
+from . import merge_sql as M
 from . import sql as S
 from .eval_queries import _JOIN_MODEL, _LOGP, _MODEL
 from .instruct_queries import _PLAIN
+from .token_queries import LEARNED, learned_vocabulary
 from .views import NEWLINE_ID, choice_records, pseudo_scores, story_stream
 
 QUERIES, ORACLES = {}, {}
@@ -134,11 +137,23 @@ def fit_few_shot(spark, sf):
     )
 
 
-@query("fit_few_shot_bpe")
-def fit_few_shot_bpe(spark, sf):
-    from ..operators.encoding import token_count_udf
-    from .token_queries import learned_vocabulary
+_BPE_FIT = f"""{LEARNED}, {_DEMOS.strip()},
+tries as (select idx, k, {_HEADER} || array_to_string(list_slice(demos, 1, k), '') || {_QUESTION} as prompt
+  from (select *, unnest(range(0, len(demos) + 1)) as k from shot)),
+texts as materialized (select idx * {SHOTS + 1} + k as key, prompt as text from tries),
+{M.encoded('texts', 'sizes')},
+sized as (select tries.*, length(s) as size,
+    max(k) filter (where length(s) <= {BLOCK // 2}) over (partition by idx) as best
+  from tries join sizes on key = idx * {SHOTS + 1} + k)"""
+
 
+@query(
+    "fit_few_shot_bpe",
+    f"""with {_BPE_FIT} select idx, k::INTEGER as effective_shots, size::INTEGER as prompt_size,
+          size > {BLOCK // 2} as prompt_left_truncated, md5(prompt) as prompt_md5
+        from sized where k = coalesce(best, 0)""",
+)
+def fit_few_shot_bpe(spark, sf):
     rows = C.with_demonstrations(valid(spark, sf, "test"), valid(spark, sf, "dev"), SHOTS)
     count = token_count_udf(learned_vocabulary(spark, sf))
     best = C.fit_few_shot_tokens(rows, BLOCK // 2, F.lit("completion"), count)

@@ -11,7 +11,9 @@ from ..operators.ordering import rank_before
 from ..operators.token_tables import batches
 from ..operators.vocabulary import Vocabulary
 from ..session import materialize
+from . import merge_sql as M
 from . import sql as S
+from .token_queries import LEARNED, learned_vocabulary
 from .views import instruction_records
 
 QUERIES, ORACLES = {}, {}
@@ -117,10 +119,40 @@ def encode_instruction(spark, sf):
     )
 
 
-@query("encode_instruction_bpe")
-def encode_instruction_bpe(spark, sf):
-    from .token_queries import learned_vocabulary
+#: Halvings that reach one character of any input up to 65,535 characters.
+_HALVINGS = 16
+_BPE_ROOM = MAX_LENGTH - 1
+_BPE_CODED = f"""{LEARNED}, {S.INSTRUCT.strip()},
+mins as (select rec_id as key, {_PLAIN} as text from instruct), {M.encoded('mins', 'min_c')},
+fulls as (select rec_id as key, case when input = '' then {_PLAIN} else {_with('input')} end as text from instruct),
+{M.encoded('fulls', 'full_c')},
+measured as materialized (select instruct.*, length(min_c.s) as min_n, length(full_c.s) as full_n
+  from instruct join min_c on min_c.key = rec_id join full_c on full_c.key = rec_id),
+long_ as materialized (select rec_id as key, instruction, input from measured
+  where min_n <= {_BPE_ROOM} and full_n > {_BPE_ROOM} and length(output) > 0),
+{M.longest_inputs('long_', _BPE_ROOM, _with('part'), _HALVINGS)},
+fitted as materialized (select *, case when min_n > {_BPE_ROOM} then null
+    when full_n <= {_BPE_ROOM} then case when input = '' then {_PLAIN} else {_with('input')} end
+    when coalesce(taken, 0) = 0 then {_PLAIN} else {_with('substr(input, 1, taken)')} end as prompt,
+    min_n <= {_BPE_ROOM} and full_n > {_BPE_ROOM} as input_truncated
+  from measured left join cut on cut.key = rec_id),
+asks as (select rec_id as key, coalesce(prompt, '') as text from fitted), {M.encoded('asks', 'ask_c')},
+says as (select rec_id as key, output as text from fitted), {M.encoded('says', 'say_c')},
+coded as (select fitted.*, {M.symbol_ids('ask_c.s')} as p, {M.symbol_ids('say_c.s')} as r
+  from fitted join ask_c on ask_c.key = rec_id join say_c on say_c.key = rec_id),
+enc as (select *, case when length(output) = 0 then 'empty_response'
+      when prompt is null or {MAX_LENGTH} - len(p) <= 0 then 'prompt_too_long' else 'kept' end as outcome,
+    r[1:greatest(0, {MAX_LENGTH} - len(p))] as cut from coded)"""
+
 
+@query(
+    "encode_instruction_bpe",
+    f"""with {_BPE_CODED} select rec_id, outcome,
+          case when outcome = 'kept' then array_to_string(list_concat(p, enc.cut), ',') end as tokens,
+          outcome = 'kept' and input_truncated as input_truncated,
+          outcome = 'kept' and len(r) > {MAX_LENGTH} - len(p) as response_truncated from enc""",
+)
+def encode_instruction_bpe(spark, sf):
     rows = I.encode_records(instruction_records(spark, sf), learned_vocabulary(spark, sf), MAX_LENGTH)
     return rows.select(
         "rec_id", "outcome", F.array_join("tokens", ",").alias("tokens"),

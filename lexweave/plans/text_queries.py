@@ -11,6 +11,7 @@ from ..session import fresh_path
 from ..sources import corpus, records, sinks
 from ..streaming.ingest import read_document_stream, start_story_ingest
 from . import sql as S
+from .merge_sql import WORDS
 from .views import choice_records, documents, instruction_records, pseudo_scores
 
 QUERIES, ORACLES = {}, {}
@@ -325,17 +326,13 @@ def mmlu_limit(spark, sf):
 
 # --- pre-tokens and bytes ---------------------------------------------------------
 
-_WORDS = (
-    r"regexp_extract_all(regexp_replace(text, '(\s)(\s\S)', '\1' || chr(1) || '\2', 'g'), "
-    r"'''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+')"
-)
-_HISTOGRAM = f"hist as (select word, count(*) as n from (select unnest({_WORDS}) as word from documents) group by word)"
+_HISTOGRAM = f"hist as (select word, count(*) as n from (select unnest({WORDS}) as word from documents) group by word)"
 
 
 @query(
     "pretokenize",
-    f"""select doc_id, len({_WORDS})::INTEGER as n_words,
-          md5(array_to_string({_WORDS}, '|')) as words_md5 from documents""",
+    f"""select doc_id, len({WORDS})::INTEGER as n_words,
+          md5(array_to_string({WORDS}, '|')) as words_md5 from documents""",
 )
 def pretokenize(spark, sf):
     found = documents(spark, sf).select("doc_id", T.pretokens(F.col("text")).alias("w"))
@@ -384,7 +381,7 @@ def pair_counts(spark, sf):
 @query(
     "token_counts",
     f"""select doc_id, length(text)::INTEGER as n_chars, strlen(text)::INTEGER as n_byte_tokens,
-          len({_WORDS})::INTEGER as n_words from documents""",
+          len({WORDS})::INTEGER as n_words from documents""",
 )
 def token_counts(spark, sf):
     return documents(spark, sf).select(

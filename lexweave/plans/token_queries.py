@@ -10,6 +10,7 @@ from ..operators import token_tables as D
 from ..operators.encoding import decode_ids, encode_corpus
 from ..operators.vocabulary import Vocabulary, required_special_tokens, train_vocabulary
 from ..session import fresh_path
+from . import merge_sql as M
 from . import sql as S
 from .views import byte_lengths, documents, story_stream
 
@@ -37,12 +38,20 @@ def learned_vocabulary(spark, sf) -> Vocabulary:
     return _learned[key]
 
 
-@query("bpe_merges")
+LEARNED = M.learned(VOCAB_SIZE, 2)
+
+
+@query("bpe_merges", f"with {LEARNED} select rank, left_id, right_id, new_id from merges")
 def bpe_merges(spark, sf):
     return learned_vocabulary(spark, sf).merge_table(spark)
 
 
-@query("encode_corpus")
+@query(
+    "encode_corpus",
+    f"""with {LEARNED}, src as (select doc_id as key, text from documents), {M.encoded('src', 'coded')}
+        select key as doc_id, length(s)::INTEGER as n_tokens,
+          array_to_string({M.symbol_ids('s')}, ',') as ids from coded""",
+)
 def encode_learned(spark, sf):
     encoded = encode_corpus(documents(spark, sf), learned_vocabulary(spark, sf))
     return encoded.select("doc_id", F.size("ids").alias("n_tokens"), F.array_join("ids", ",").alias("ids"))
