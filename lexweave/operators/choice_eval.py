@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import CHOICE_LABELS
@@ -15,7 +17,8 @@ from ..functions.prompts import (
     choice_question,
     in_mode,
 )
-from .ordering import rank_before, running_before
+from .lm_eval import Scorer
+from .ordering import rank_before, running_values
 
 
 def select_subjects(df: DataFrame, subjects: list[str]) -> DataFrame:
@@ -171,6 +174,64 @@ def candidates(df: DataFrame, mode: Column) -> DataFrame:
     )
 
 
+def score_choices(
+    items: DataFrame,
+    make_scorer: Callable[[], Scorer],
+    block_size: int,
+    key: str = "idx",
+    rows: int = 8,
+) -> DataFrame:
+    """``key, scores``: log-probability sums of an item's candidates under a user model.
+
+    ``items`` has ``prompt_ids`` and ``candidate_ids``, one array per candidate. A context
+    is the prompt and what precedes a candidate's token, cut from the left to
+    ``block_size``; candidates that begin alike share contexts, so four labels of one
+    token need one. ``make_scorer`` is as for ``score_windows``; contexts go to it
+    ``rows`` at a time. An empty or null prompt or candidate fails the job.
+    """
+
+    def contexts_of(batch: pd.DataFrame):
+        """Contexts of a batch of items and the ``(item, candidate, token)`` read after each."""
+        contexts, reads = [], []
+        for item, (prompt, choices) in enumerate(zip(batch["prompt_ids"], batch["candidate_ids"])):
+            if prompt is None or choices is None or not len(prompt) or not len(choices):
+                raise ValueError("an item needs prompt tokens and candidates")
+            places: dict[bytes, int] = {}
+            for number, candidate in enumerate(choices):
+                if candidate is None or not len(candidate):
+                    raise ValueError("a candidate needs at least one token")
+                for taken, token in enumerate(candidate):
+                    said = np.asarray(candidate[:taken], np.int64)
+                    place = places.setdefault(said.tobytes(), len(contexts))
+                    if place == len(contexts):
+                        contexts.append(np.concatenate([prompt, said])[-block_size:].astype(np.int64))
+                        reads.append([])
+                    reads[place].append((item, number, token))
+        return contexts, reads
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = make_scorer()
+        for batch in batches:
+            contexts, reads = contexts_of(batch)
+            scores = [np.zeros(len(c)) for c in batch["candidate_ids"]]
+            for low in range(0, len(contexts), rows):
+                part = contexts[low : low + rows]
+                sizes = np.array([len(c) for c in part])
+                real = np.arange(sizes.max()) < sizes[:, None]
+                inputs = np.zeros(real.shape, np.int64)
+                inputs[real] = np.concatenate(part)
+                ends = scorer(inputs)[np.arange(len(part)), sizes - 1]
+                for at, wanted in enumerate(reads[low : low + rows]):
+                    for item, candidate, token in wanted:
+                        scores[item][candidate] += ends[at, token]
+            yield pd.DataFrame({key: batch[key], "scores": scores})
+
+    kind = items.schema[key].dataType.simpleString()
+    return items.select(key, "prompt_ids", "candidate_ids").mapInPandas(
+        run, f"`{key}` {kind}, scores ARRAY<DOUBLE>"
+    )
+
+
 def label_scores(scored: DataFrame, *keys: str) -> DataFrame:
     """``keys, scores``: the four scores of an item in label order."""
     return scored.groupBy(*keys).agg(
@@ -235,19 +296,29 @@ def macro_accuracy(preds: DataFrame) -> DataFrame:
 def evaluation_report(
     preds: DataFrame, *, prompt_mode: str, shots: int, limit: int | None = None
 ) -> DataFrame:
-    """One summary row of a finished run."""
-    macro = macro_accuracy(preds)
-    truncated = preds.agg(F.count_if("prompt_left_truncated")).scalar()
-    return accuracy_summary(preds).select(
+    """One summary row of a finished run, from one pass over the predictions."""
+    subjects = preds.groupBy("subject").agg(
+        F.count("*").alias("n"),
+        F.count_if("correct").alias("hits"),
+        F.count_if("prompt_left_truncated").alias("cut"),
+    )
+    return subjects.agg(
+        F.sum("n").alias("total"),
+        F.sum("hits").alias("correct"),
+        (F.sum("hits") / F.sum("n")).alias("accuracy"),
+        F.avg(F.col("hits") / F.col("n")).alias("macro_subject_accuracy"),
+        F.count("*").alias("subject_count"),
+        F.sum("cut").alias("prompt_left_truncated"),
+    ).select(
         F.lit("answer_label_conditional_log_likelihood").alias("scoring"),
         F.lit(prompt_mode).alias("prompt_mode"),
         F.lit(shots).alias("requested_shots"),
         "total",
         "correct",
         "accuracy",
-        macro.select("macro_subject_accuracy").scalar().alias("macro_subject_accuracy"),
-        macro.select("subject_count").scalar().alias("subject_count"),
-        truncated.alias("prompt_left_truncated"),
+        "macro_subject_accuracy",
+        "subject_count",
+        "prompt_left_truncated",
         F.lit("full_selection" if limit is None else "prefix_smoke_test").alias("evaluation_scope"),
     )
 
@@ -264,10 +335,7 @@ def running_accuracy(preds: DataFrame, every: int, order: str = "index") -> Data
     if every <= 0:
         raise ValueError("every must be positive")
     hit = F.col("correct").cast("bigint")
-    rows = running_before(
-        preds, order, F.lit(1).cast("bigint"), "__n"
-    )
-    rows = running_before(rows, order, hit, "__c")
+    rows = running_values(preds, order, {"__n": F.lit(1).cast("bigint"), "__c": hit})
     total = preds.agg(F.count("*")).scalar()
     done = (F.col("__n") + 1).cast("bigint")
     correct = (F.col("__c") + hit).cast("bigint")

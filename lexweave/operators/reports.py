@@ -55,33 +55,45 @@ def subject_extremes(subjects: DataFrame, k: int) -> DataFrame:
 
 
 def compare_runs(a: DataFrame, b: DataFrame, key: str, metric: str, targets: str) -> DataFrame:
-    """Difference and relative change of a metric, and whether both counted the same targets."""
-    left = a.select(key, F.col(metric).alias("value_a"), F.col(targets).alias("targets_a"))
-    right = b.select(key, F.col(metric).alias("value_b"), F.col(targets).alias("targets_b"))
-    return left.join(right, key).select(
+    """Difference and relative change of a metric, and whether both counted the same targets.
+
+    Keys of one run only stay, with nulls for the other; ``held_by`` is both, a or b.
+    """
+    left = a.select(key, F.col(metric).alias("value_a"), F.col(targets).alias("targets_a"), F.lit(True).alias("in_a"))
+    right = b.select(key, F.col(metric).alias("value_b"), F.col(targets).alias("targets_b"), F.lit(True).alias("in_b"))
+    holder = F.when(F.col("in_b").isNull(), "a").when(F.col("in_a").isNull(), "b").otherwise("both")
+    return left.join(right, key, "full").select(
         key,
         "value_a",
         "value_b",
         (F.col("value_b") - F.col("value_a")).alias("difference"),
         F.try_divide(F.col("value_b") - F.col("value_a"), F.col("value_a")).alias("relative_change"),
         (F.col("targets_a") == F.col("targets_b")).alias("same_targets"),
+        holder.alias("held_by"),
     )
 
 
 def run_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Equal predicted labels and largest score difference of two scorings."""
+    """Equal predicted labels and largest score difference of two scorings.
+
+    ``n_items`` are in both; ``only_a`` and ``only_b`` in one.
+    """
+    left = a.select("index", "predicted_label", "choice_log_likelihoods", F.lit(True).alias("in_a"))
     right = b.select(
         "index",
         F.col("predicted_label").alias("label_b"),
         F.col("choice_log_likelihoods").alias("scores_b"),
+        F.lit(True).alias("in_b"),
     )
-    both = a.join(right, "index")
+    both = left.join(right, "index", "full")
     gaps = F.transform(
         F.map_keys("choice_log_likelihoods"),
         lambda l: F.abs(F.element_at("choice_log_likelihoods", l) - F.element_at("scores_b", l)),
     )
     return both.agg(
-        F.count("*").alias("n_items"),
+        F.count_if(F.col("in_a") & F.col("in_b")).alias("n_items"),
+        F.count_if(F.col("in_b").isNull()).alias("only_a"),
+        F.count_if(F.col("in_a").isNull()).alias("only_b"),
         F.count_if(F.col("predicted_label") == F.col("label_b")).alias("same_labels"),
         F.max(F.array_max(gaps)).alias("max_score_difference"),
     )

@@ -75,14 +75,15 @@ def batch_generate(
 
     ``prompts`` has ``key, seed, last`` (last prompt token); ``candidates`` one row per
     context token, ``fallback`` one row for unseen contexts. A row that draws the end
-    token keeps it and leaves the active set. Every ``keep_steps`` steps the state goes
-    to a table in shared storage.
+    token keeps it. Every ``keep_steps`` steps the state goes to a table in shared storage
+    and the finished rows leave the active set.
     """
     default = fallback.select("candidates").scalar()
     table = materialize(candidates.select(F.col(candidates.columns[0]).alias("last"), "candidates"), "candidates")
     state = prompts.select(
         key, "seed", "last", F.array().cast("array<int>").alias("new_ids"), F.lit(False).alias("done")
     )
+    finished = state.filter(F.lit(False))
     for step in range(max_new_tokens):
         draw = uniform_draw(F.col("seed").cast("string"), F.lit(str(step)))
         token = pick(F.col("candidates"), draw)
@@ -101,7 +102,9 @@ def batch_generate(
             )
         )
         if (step + 1) % keep_steps == 0 and step + 1 < max_new_tokens:
-            state = materialize(state, "generation")
-            if state.filter(~F.col("done")).isEmpty():
+            stored = materialize(state, "generation")
+            finished = finished.unionByName(stored.filter("done"))
+            state = stored.filter(~F.col("done"))
+            if state.isEmpty():
                 break
-    return state.select(key, "new_ids")
+    return finished.unionByName(state).select(key, "new_ids")

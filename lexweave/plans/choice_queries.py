@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ..constants import BYTE_VOCAB_SIZE, CHOICE_HEADER, EOS_ID
+from ..constants import BYTE_VOCAB_SIZE, CHOICE_HEADER, CHOICE_LABELS, EOS_ID
 from ..functions import prompts as P
 from ..functions.tokens import byte_ids, byte_token_count, take_last
 from ..operators import choice_eval as C
@@ -319,6 +320,47 @@ def mmlu_ngram_predictions(spark, sf):
     )
 
 
+# a closed-form model that looks at the last token and the length of its context
+_STEP = f"(-((s[len(s)] * 7 + tok * 13 + least(len(s), {CONTEXT}) * 3) % 101 + 1) / 100.0::DOUBLE)"
+
+
+@query(
+    "mmlu_model_predictions",
+    f"""with {_MODED}, c as (select idx, l, {S.ids('prompt')} as t,
+          {S.ids("case when mode = 'instruction' then '' else ' ' end || (['A', 'B', 'C', 'D'])[l]")} as c
+          from asked, range(1, 5) r(l)),
+        e as (select idx, l, list_concat(t, c[1:p]) as s, c[p + 1] as tok
+          from (select *, unnest(range(len(c))) as p from c)),
+        cs as (select idx, l, round(sum({_STEP}), 6) as score from e group by 1, 2),
+        g as (select idx, list(score order by l) as s from cs group by 1)
+        select g.idx as "index", answer as gold, (list_position(s, list_max(s)) - 1)::INTEGER as predicted,
+          list_position(s, list_max(s)) - 1 = answer as correct, s[1] as score_a, s[2] as score_b,
+          s[3] as score_c, s[4] as score_d from g join test on test.idx = g.idx""",
+)
+def mmlu_model_predictions(spark, sf):
+    continuations = F.array(*[byte_ids(P.answer_continuation(F.lit(l), F.col("mode"))) for l in CHOICE_LABELS])
+    items = asked(spark, sf).select(
+        "idx", byte_ids(F.col("prompt")).alias("prompt_ids"), continuations.alias("candidate_ids")
+    )
+    vocabulary = np.arange(BYTE_VOCAB_SIZE)
+
+    def closed_form():
+        def log_probs(ids: np.ndarray) -> np.ndarray:
+            lengths = np.arange(1, ids.shape[1] + 1)[None, :, None]
+            return -((ids[..., None] * 7 + vocabulary * 13 + lengths * 3) % 101 + 1) / 100.0
+
+        return log_probs
+
+    scored = C.score_choices(items, closed_form, CONTEXT)
+    scored = scored.withColumn("scores", F.transform("scores", lambda x: F.round(x, 6)))
+    preds = C.predictions(valid(spark, sf, "test").join(scored, "idx"))
+    label = lambda l: F.element_at("choice_log_likelihoods", l)
+    return preds.select(
+        "index", "gold", "predicted", "correct", label("A").alias("score_a"),
+        label("B").alias("score_b"), label("C").alias("score_c"), label("D").alias("score_d"),
+    )
+
+
 _SUBJECTS = """subj as (select subject, count(*) as total, count(*) filter (where correct) as correct,
     count(*) filter (where correct) / count(*)::DOUBLE as accuracy from judged group by subject)"""
 
@@ -445,10 +487,12 @@ judged2 as (select *, (list_position(s2, list_max(s2)) - 1)::INTEGER as predicte
     f"""with {S.PREDICTED}, {_SUBJECTS}, {_SECOND},
         subj2 as (select subject, count(*) as total, count(*) filter (where predicted2 = answer) / count(*)::DOUBLE as accuracy
           from judged2 group by 1)
-        select a.subject, round(a.accuracy, 6) as value_a, round(b.accuracy, 6) as value_b,
+        select subject, round(a.accuracy, 6) as value_a, round(b.accuracy, 6) as value_b,
           round(b.accuracy - a.accuracy, 6) as difference,
           case when a.accuracy > 0 then round((b.accuracy - a.accuracy) / a.accuracy, 6) end as relative_change,
-          a.total = b.total as same_targets from subj a join subj2 b using (subject)""",
+          a.total = b.total as same_targets,
+          case when b.total is null then 'a' when a.total is null then 'b' else 'both' end as held_by
+        from subj a full join subj2 b using (subject)""",
 )
 def compare_runs(spark, sf):
     a, b = (C.subject_summary(predicted(spark, sf, salt)) for salt in (0, 17))
@@ -463,7 +507,8 @@ def compare_runs(spark, sf):
     f"""with {S.PREDICTED}, {_SECOND}, g as (select predicted, predicted2,
           list_max(list_transform(range(1, 5), lambda i: abs(s[i] - s2[i]))) as gap
           from judged join judged2 using (idx))
-        select count(*) as n_items, count(*) filter (where predicted = predicted2) as same_labels,
+        select count(*) as n_items, 0::BIGINT as only_a, 0::BIGINT as only_b,
+          count(*) filter (where predicted = predicted2) as same_labels,
           round(max(gap), 6) as max_score_difference from g""",
 )
 def run_agreement(spark, sf):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import EOS_TOKEN
 from ..functions.text import story_chunk
-from ..functions.tokens import byte_token_count
+from ..functions.tokens import byte_token_count, take_last
 from ..operators import choice_eval, instruction, lm_eval, token_tables
 from ..operators.encoding import encode_corpus, token_count_udf
 from ..operators.ngram import NgramModel, score_continuations
@@ -112,13 +113,16 @@ def evaluate_choices(
     test: DataFrame,
     dev: DataFrame | None,
     vocabulary: Vocabulary,
-    model: NgramModel,
+    model: NgramModel | Callable[[], lm_eval.Scorer],
     *,
     block_size: int,
     shots: int = 0,
     prompt_mode: str = "completion",
 ) -> tuple[DataFrame, DataFrame]:
-    """Questions to stored predictions and their summary row."""
+    """Questions to stored predictions and their summary row.
+
+    ``model`` is an n-gram model or a function that makes a scorer in each task.
+    """
     if prompt_mode not in {"completion", "instruction"}:
         raise ValueError("prompt_mode must be 'completion' or 'instruction'")
     if shots and dev is None:
@@ -139,8 +143,16 @@ def evaluate_choices(
     items = asked.join(
         coded.select(F.col("c").alias("continuation"), F.col("ids").alias("candidate_ids")), "continuation"
     )
-    scores = choice_eval.label_scores(
-        score_continuations(items, model, "idx", "label_index"), "idx"
-    )
+    if isinstance(model, NgramModel):
+        scores = choice_eval.label_scores(
+            score_continuations(items, model, "idx", "label_index"), "idx"
+        )
+    else:
+        last = F.any_value(take_last(F.col("prompt_ids"), block_size))
+        labels = F.array_sort(F.collect_list(F.struct("label_index", "candidate_ids")))
+        together = items.groupBy("idx").agg(
+            last.alias("prompt_ids"), F.transform(labels, lambda l: l["candidate_ids"]).alias("candidate_ids")
+        )
+        scores = choice_eval.score_choices(together, model, block_size)
     preds = materialize(choice_eval.predictions(fitted.join(scores, "idx")), "predictions")
     return preds, choice_eval.evaluation_report(preds, prompt_mode=prompt_mode, shots=shots)

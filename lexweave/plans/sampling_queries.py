@@ -81,11 +81,24 @@ def _prompts(spark, sf):
 )
 def seeded_sample(spark, sf):
     candidates = G.candidate_arrays(next_token_distribution(spark, sf), "c1")
-    rows = _prompts(spark, sf).join(candidates, F.col("last") == F.col("c1"))
+    rows = _prompts(spark, sf).join(candidates, F.col("last") == F.col("c1"), "left")
+    # an empty prompt, or an ending never seen before a token, draws from all tokens
+    any_token = _any_token(spark, sf).select("candidates").scalar()
+    rows = rows.withColumn("candidates", F.coalesce("candidates", any_token))
     draw = uniform_draw(F.col("seed").cast("string"), F.lit("0"))
     return rows.select("doc_id", "seed", "last", G.pick(F.col("candidates"), draw).alias("token"))
 
 
+def _any_token(spark, sf):
+    """One row of candidates from token counts alone."""
+    unigrams = corpus_model(spark, sf).uni.select(
+        F.lit(0).alias("g"), "token", F.log("n1").alias("logit")
+    )
+    return G.candidate_arrays(
+        G.top_k_distribution(unigrams, "g", TEMPERATURE, TOP_K, BYTE_VOCAB_SIZE), "g"
+    )
+
+
 @query(
     "batch_generate",
     f"""with recursive {S.STREAM.strip()}, {_DIST}, {_DRAWN},
@@ -97,14 +110,8 @@ def seeded_sample(spark, sf):
 )
 def batch_generate(spark, sf):
     candidates = G.candidate_arrays(next_token_distribution(spark, sf), "c1")
-    unigrams = corpus_model(spark, sf).uni.select(
-        F.lit(0).alias("g"), "token", F.log("n1").alias("logit")
-    )
-    fallback = G.candidate_arrays(
-        G.top_k_distribution(unigrams, "g", TEMPERATURE, TOP_K, BYTE_VOCAB_SIZE), "g"
-    )
     out = G.batch_generate(
-        _prompts(spark, sf), candidates, fallback,
+        _prompts(spark, sf), candidates, _any_token(spark, sf),
         max_new_tokens=STEPS, eos_id=EOS_ID, key="doc_id",
     )
     return out.select("doc_id", F.array_join("new_ids", ",").alias("new_ids"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import canonical_newlines, is_blank, normalize_text
+from ..operators.ordering import first_rows
 
 DOCUMENT_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 
@@ -60,7 +61,7 @@ def first_stories(df: DataFrame, max_stories: int, order: str = "doc_id") -> Dat
     """The first ``max_stories`` non-empty stories in source order."""
     if max_stories <= 0:
         raise ValueError("max_stories must be positive")
-    return non_empty_stories(df).orderBy(order).limit(max_stories)
+    return first_rows(non_empty_stories(df), max_stories, order)
 
 
 def raw_lines(df: DataFrame, text: str = "text") -> DataFrame:
@@ -85,8 +86,8 @@ def require_markers(df: DataFrame, marker: str, text: str = "text") -> DataFrame
     return df
 
 
-def ordered_limit(df: DataFrame, n: int, order: str | Column) -> DataFrame:
+def ordered_limit(df: DataFrame, n: int, order: str) -> DataFrame:
     """First ``n`` rows in order, as a smoke-test prefix."""
     if n <= 0:
         raise ValueError("limit must be positive")
-    return df.orderBy(order).limit(n)
+    return first_rows(df, n, order)

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,83 @@ def test_run_comparison(spark):
     runs = [spark.createDataFrame([("wiki", v, 442868)], "k STRING, v DOUBLE, n BIGINT") for v in (929.84, 183.63)]
     out = R.compare_runs(*runs, "k", "v", "n").first()
     assert round(out.relative_change * 100, 2) == -80.25 and out.same_targets
+
+
+def test_runs_with_different_keys_stay_visible(spark):
+    a = spark.createDataFrame([("x", 0.5, 2), ("y", 0.25, 4)], "k STRING, v DOUBLE, n INT")
+    b = spark.createDataFrame([("x", 1.0, 2), ("z", 0.75, 4)], "k STRING, v DOUBLE, n INT")
+    rows = {r.k: r for r in R.compare_runs(a, b, "k", "v", "n").collect()}
+    assert {k: r.held_by for k, r in rows.items()} == {"x": "both", "y": "a", "z": "b"}
+    assert rows["x"].difference == 0.5 and rows["y"].difference is None
+
+    def run(*indices):
+        rows = [(i, "A", {"A": -1.0}) for i in indices]
+        return spark.createDataFrame(rows, "index INT, predicted_label STRING, choice_log_likelihoods MAP<STRING,DOUBLE>")
+
+    row = R.run_agreement(run(0, 1, 2), run(1, 2, 3, 4)).first()
+    assert (row.n_items, row.only_a, row.only_b, row.same_labels) == (2, 1, 2, 2)
+
+
+def toy():
+    """A model maker: log-probabilities from the last two tokens, of eight."""
+
+    def make():
+        def logs(ids):
+            before = np.concatenate([np.zeros_like(ids[:, :1]), ids[:, :-1]], axis=1)
+            mixed = (ids * 3 + before * 5)[..., None] + np.arange(8) * (1 + ids[..., None])
+            raw = np.sin(mixed)
+            return raw - np.log(np.exp(raw).sum(-1, keepdims=True))
+
+        return logs
+
+    return make
+
+
+def brute_choice(prompt, candidate, block):
+    context, total = list(prompt), 0.0
+    for token in candidate:
+        total += toy()()(np.array([context[-block:]]))[0, -1, token]
+        context.append(token)
+    return total
+
+
+CHOICE_SCHEMA = "idx BIGINT, prompt_ids ARRAY<INT>, candidate_ids ARRAY<ARRAY<INT>>"
+
+
+@pytest.mark.parametrize("rows", [1, 3])
+def test_user_models_score_choices(spark, rows):
+    data = [
+        (0, [1, 2, 3], [[4], [5], [6], [4]]),
+        (1, [7], [[0, 1], [0, 2, 5], [3], [0]]),
+        (2, [1, 2, 3, 4, 5, 6, 7], [[1, 1], [1, 2], [2, 1], [2]]),
+    ]
+    df = spark.createDataFrame(data, CHOICE_SCHEMA)
+    got = {r.idx: r.scores for r in C.score_choices(df, toy(), 4, rows=rows).collect()}
+    for idx, prompt, candidates in data:
+        assert got[idx] == pytest.approx([brute_choice(prompt, c, 4) for c in candidates])
+    assert C.score_choices(df.limit(0), toy(), 4).collect() == []
+
+
+def test_four_one_token_labels_need_one_context(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    make = toy()
+
+    def counted():
+        model = make()
+
+        def logs(ids):
+            calls.add(len(ids))
+            return model(ids)
+
+        return logs
+
+    data = [(i, [1, 2, i % 8], [[4], [5], [6], [7]]) for i in range(10)]
+    assert len(C.score_choices(spark.createDataFrame(data, CHOICE_SCHEMA), counted, 8).collect()) == 10
+    assert calls.value == 10
+
+
+@pytest.mark.parametrize("item", [(0, [], [[1]]), (0, None, [[1]]), (0, [1], [[]]), (0, [1], []), (0, [1], None)])
+def test_choices_without_tokens_fail(spark, item):
+    with pytest.raises(Exception, match="needs"):
+        C.score_choices(spark.createDataFrame([item], CHOICE_SCHEMA), toy(), 4).collect()

@@ -60,6 +60,27 @@ def test_preferred_answer(spark, docs_of, mode):
     assert (row.correct, row.accuracy, row.subject_count, row.requested_shots) == (1, 0.5, 1, 2)
 
 
+def test_preferred_answer_of_a_user_model(spark):
+    """A scorer that favours the byte of 'C' answers C, whatever the prompt mode."""
+    favourite = Vocabulary().tokens.index(b"C")
+
+    def make():
+        def logs(ids):
+            out = np.full((*ids.shape, 260), -6.0)
+            out[..., favourite] = -1.0
+            return out
+
+        return logs
+
+    test = items(spark, 4).withColumn("answer", F.col("idx").cast("int"))
+    for mode in ("completion", "instruction"):
+        preds, report = flows.evaluate_choices(
+            test, items(spark, 3), Vocabulary(), make, block_size=700, shots=1, prompt_mode=mode
+        )
+        assert [r.predicted for r in preds.collect()] == [2] * 4
+        assert report.first().accuracy == 0.25
+
+
 def test_sample_report_file(spark, base):
     rows = spark.createDataFrame(
         [(0, "p", 1, 42, "Say", "", "Hi"), (1, "p", 2, 43, "Say", "in", "Ho")],

@@ -33,6 +33,30 @@ def test_ranks_are_exact_over_buckets(spark):
     assert ranked.filter(F.col("rk") != F.col("id") / 3).isEmpty()
 
 
+def test_windows_stay_small_for_hashed_keys(spark):
+    rows = spark.range(3000).select(F.xxhash64("id").alias("k"), "id")
+    want = {r.k: i for i, r in enumerate(sorted(rows.collect(), key=lambda r: r.k))}
+    assert {r.k: r.rk for r in ordering.rank_before(rows, "k", "rk").collect()} == want
+    # what a window can see: children of a bucket, and the topmost buckets of all 64-bit keys
+    widths = [b - a for a, b in zip((0, *ordering.ID_SHIFTS), (*ordering.ID_SHIFTS, 64))]
+    assert max(widths) <= 18
+
+
+def test_several_running_values_in_one_pass(spark):
+    df = spark.range(0, 9000, 7).withColumn("v", F.col("id") % 5)
+    out = ordering.running_values(df, "id", {"n": F.lit(1).cast("bigint"), "s": F.col("v")})
+    single = ordering.running_before(df, "id", F.col("v"), "s")
+    assert {(r.id, r.s) for r in out.collect()} == {(r.id, r.s) for r in single.collect()}
+    assert out.filter(F.col("n") != F.col("id") / 7).isEmpty()
+
+
+def test_first_rows(spark):
+    df = spark.range(20, 0, -1).withColumn("t", F.col("id").cast("string"))
+    assert [r.t for r in ordering.first_rows(df, 3, "id").collect()] == ["1", "2", "3"]
+    assert ordering.first_rows(df, 50, "id").count() == 20
+    assert ordering.first_rows(df.limit(0), 2, "id").collect() == []
+
+
 def test_shifted_window(spark):
     first = D.shifted_windows(stream(spark, [1, 2], [], [3, 4, 5]), 3, 1).orderBy("start").collect()
     assert [(r.start, r.inputs, r.targets) for r in first] == [
