@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import materialize
+from . import similar
 from .common import attach
 from .components import components
 
@@ -183,7 +184,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     prints = materialize(
         rows.groupBy("fp").agg(F.min(key).alias("least"), F.count("*").alias("n")), "simhash-values"
     )
-    roots = components(materialize(link_fingerprints(prints), "simhash-links"), "simhash-parts")
+    return _grouped(rows, prints, materialize(link_fingerprints(prints), "simhash-links"), key)
+
+
+def similar_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text",
+    n: int = similar.SHINGLE, similarity: float = similar.SIMILARITY,
+) -> DataFrame:
+    """``key, fp, component`` per row: an id of the text's words and the least key of its group.
+
+    Groups are the components of all pairs with Jaccard similarity ``similarity`` or more of
+    their ``n``-word shingles. Candidates share a MinHash band and each is checked on the exact
+    shingle sets; a pair of similarity 0.8 shares none with probability 1.3e-7. A text of fewer
+    words is one shingle. Null, empty and blank texts are one group; keys as in near_duplicates.
+    """
+    rows = materialize(similar.sketched(docs, key, text, n), "similar")
+    values = materialize(rows.groupBy("fp").agg(
+        F.min(key).alias("least"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands")
+    ), "similar-values")
+    links = similar.link_similar(values, docs, text, n, similarity)
+    return _grouped(rows.select(key, "fp"), values.select("fp", "least", "n"), links, key)
+
+
+def _grouped(rows: DataFrame, prints: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """Rows ``key, fp`` with the least key of their value's component over the links."""
+    roots = components(links, "simhash-parts")
     # values outside every link are their own group; a group of values may be large
     named = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", "n", F.coalesce("root", "fp").alias("root")
@@ -197,16 +222,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Keeps of each group the row with the least key, with all its columns.
+    """Keeps of each group of similar documents the row with the least key, with all its columns.
 
+    Groups are those of ``similar_documents``: five words, similarity 0.8.
     Of repeated rows with that key one stays. Rows with a null key stay only if their whole
     group has none, then one of them.
     """
-    found = near_duplicates(docs, key, text)
+    found = similar_documents(docs, key, text)
     keep = found.filter(F.col(key).eqNullSafe(F.col("component")))
     # several rows may carry the least key; one fingerprint of it stands for the group
     keep = keep.groupBy(_name(key).alias("_simhash_key"), "component").agg(F.min("fp").alias("_simhash_fp"))
-    mine = docs.withColumn("_simhash_key", _name(key)).withColumn("_simhash_fp", fingerprint_udf(text))
+    mine = docs.withColumn("_simhash_key", _name(key)).withColumn("_simhash_fp", similar.text_id(text))
     kept = mine.join(keep.drop("component"), ["_simhash_key", "_simhash_fp"], "left_semi")
     return kept.dropDuplicates(["_simhash_key", "_simhash_fp"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
