@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import materialize
 
 KEY = "lexweave-surrogates"
-#: Tweaks that are tried before one with colliding surrogates would be an error.
-ROUNDS = 8
+#: Tweaks that are tried; the last one gives names of as many syllables as the digest holds.
+ROUNDS = 20
 
 #: Titles that show a person's gender.
 TITLES = {
@@ -173,7 +173,9 @@ def _invented(word: Column, part: Column, gender: Column, seed: Column, tweak: i
 def canonical(entity: Column, kind: Column) -> Column:
     """What makes two mentions the same: digits of numbers, lower case of addresses and names."""
     number = kind.isin("card", "ssn")
-    name = F.concat(_gender(entity), F.lit("|"), F.lower(F.array_join(_name_words(entity), " ")))
+    words = F.lower(F.array_join(_name_words(entity), " "))
+    # a family name alone has one surrogate for all titles
+    name = F.when(F.size(_name_words(entity)) > 1, F.concat(_gender(entity), F.lit("|"), words)).otherwise(words)
     phone = F.concat(_code(entity), F.lit(" "), F.substring(_digits(entity), F.char_length(_digits(_code(entity))) + 1, F.lit(99)))
     return (
         F.when(number, _digits(entity)).when(kind == "phone", phone).when(kind == "name", name).otherwise(F.lower(entity))

@@ -166,6 +166,12 @@ def test_surrogates_keep_type_format_and_mentions(spark):
     assert (rows[0].n_entities, rows[1].n_entities, rows[2].n_entities) == (6, 6, 5)
 
 
+def test_one_family_name_after_different_titles(spark):
+    docs = spark.createDataFrame([(1, "Mr Smith, Mrs Smith and Dr Smith met Ms Jones")], "doc_id long, text string")
+    names = re.fullmatch(r"Mr (\w+), Mrs (\w+) and Dr (\w+) met Ms (\w+)", surrogates.replace_entities(docs).first().text).groups()
+    assert len(set(names[:3])) == 1 and names[3] != names[0] and not {"Smith", "Jones"} & set(names)
+
+
 def test_surrogates_are_distinct(spark):
     rng = random.Random(8)
     phones = {f"+1 ({rng.randint(100, 999)}) {rng.randint(100, 999)}-{rng.randint(0, 9999):04d}" for _ in range(400)}
