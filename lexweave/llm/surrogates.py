@@ -45,7 +45,7 @@ TYPES = [
 KINDS = [t for t, _, _ in TYPES]
 PATTERN = "|".join(p for _, p, _ in TYPES)
 #: A text without any of these holds nothing to replace.
-_HINT = rf"[0-9]{{2}}|@|(?:AKIA|ghp_|sk-)|{_TITLE} \p{{Lu}}"
+_HINT = rf"[0-9]{{2}}|[0-9]\.[0-9]|@|(?:AKIA|ghp_|sk-)|[0-9A-Fa-f]{{32}}|{_TITLE} \p{{Lu}}"
 
 _DIGITS, _LETTERS, _HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
 

@@ -172,6 +172,14 @@ def test_one_family_name_after_different_titles(spark):
     assert len(set(names[:3])) == 1 and names[3] != names[0] and not {"Smith", "Jones"} & set(names)
 
 
+def test_texts_with_one_entity_pass_the_hint(spark):
+    alone = ["dns 8.8.8.8 used", "1.1.1.1", "deadbeef" * 4, "DEADBEEF" * 4, "a@b.de", "AKIA" + "A" * 16, "sk-" + "a" * 20,
+             "ghp_" + "a" * 20, "+1 2 34 56", "123-45-6789", "4111 1111 1111 1111", "Dr. Who", "г-жа Иванова"]
+    docs = spark.createDataFrame(list(enumerate(alone)), "doc_id long, text string")
+    rows = surrogates.surrogate_report(docs).collect()
+    assert all(r.n_entities == 1 and r.text != alone[r.doc_id] for r in rows)
+
+
 def test_surrogates_are_distinct(spark):
     rng = random.Random(8)
     phones = {f"+1 ({rng.randint(100, 999)}) {rng.randint(100, 999)}-{rng.randint(0, 9999):04d}" for _ in range(400)}
