@@ -16,8 +16,11 @@ TITLES = {
     "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "господин", "г-н"],
     "n": ["Dr", "Prof"],
 }
-_NAME_WORD = r"\p{Lu}[\p{Ll}'-]+"
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.?"
+_TITLES = f"(?:{_TITLE} )+"
+#: A word with inner capitals, apostrophes and hyphens, or an initial; a possessive s is not part of it.
+_NAME_WORD = rf"(?!{_TITLE} )(?:\p{{Lu}}\.|\p{{Lu}}[\p{{L}}\p{{M}}]*+(?:-[\p{{L}}\p{{M}}]++|['’](?:\p{{Lu}}[\p{{L}}\p{{M}}]*+|[\p{{Ll}}\p{{M}}]{{3,}}+))*+)"
+_PARTICLE = "(?:van|von|der|den|de|del|della|di|da|du|dos|la|le|ter|zu)"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 #: Type, what finds it in a text, and what tells it from the other types, in order.
@@ -29,7 +32,7 @@ TYPES = [
     ),
     (
         "secret",
-        r"(?<![A-Za-z0-9_])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|(?:ghp_|sk-)[A-Za-z0-9]{20,128})(?![A-Za-z0-9_])",
+        r"(?<![A-Za-z0-9_])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|(?:ghp_|sk-)[A-Za-z0-9]{20,}+)(?![A-Za-z0-9_])",
         r"^(?=.{20})[A-Za-z0-9_-]+$(?<=[A-Za-z0-9])(?<!^[0-9 -]{1,31})",
     ),
     ("ip", rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])", r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"),
@@ -40,7 +43,7 @@ TYPES = [
         r"(?:(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}|(?<![0-9(+-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9])",
         r"^[+(0-9]",
     ),
-    ("name", rf"(?<!\p{{L}}){_TITLE} {_NAME_WORD}(?: {_NAME_WORD})?", r"^\p{L}"),
+    ("name", rf"(?<!\p{{L}}){_TITLES}{_NAME_WORD}(?:(?: {_PARTICLE})* {_NAME_WORD})*+", r"^\p{L}"),
 ]
 KINDS = [t for t, _, _ in TYPES]
 PATTERN = "|".join(p for _, p, _ in TYPES)
@@ -80,6 +83,20 @@ def _chain(chars: Column, seed: Column, alphabets: list[str]) -> Column:
     return F.aggregate(chars, start, step, lambda s: s["done"])
 
 
+#: Longer secrets are permuted in blocks of BLOCK characters, each keyed by the one before.
+LONG, BLOCK = 128, 64
+
+
+def _permuted_blocks(text: Column, seed: Column, alphabets: list[str]) -> Column:
+    """A keyed permutation in time that follows the length."""
+    parts = F.regexp_extract_all(text, F.lit(rf"[\s\S]{{1,{BLOCK}}}"), F.lit(0))
+    numbered = F.transform(F.array(parts), lambda ps: F.transform(ps, lambda p, i: F.struct(
+        p.alias("part"), F.concat_ws("|", i.cast("string"), F.get(ps, i - 1), F.lit("")).alias("mark")
+    )))[0]
+    long = F.array_join(F.transform(numbered, lambda z: _permuted(z["part"], F.concat(seed, z["mark"]), alphabets)), "")
+    return F.when(F.char_length(text) > LONG, long).otherwise(_permuted(text, seed, alphabets))
+
+
 def _permuted(text: Column, seed: Column, alphabets: list[str]) -> Column:
     """A keyed permutation of the texts of one shape: once forwards, once backwards."""
     ahead = _chain(F.split(text, ""), F.concat(seed, F.lit(">")), alphabets)
@@ -129,18 +146,18 @@ def _digits(entity: Column) -> Column:
 
 def _name_words(entity: Column) -> Column:
     """The words of a name without its title."""
-    return F.split(F.regexp_replace(entity, rf"^{_TITLE} ", ""), " ")
+    return F.split(F.regexp_replace(entity, rf"^{_TITLES}", ""), " ")
 
 
 def _title(entity: Column) -> Column:
-    return F.regexp_extract(entity, rf"^{_TITLE} ", 0)
+    return F.regexp_extract(entity, rf"^{_TITLES}", 0)
 
 
 def _gender(entity: Column) -> Column:
-    bare = F.regexp_replace(_title(entity), r"[. ]", "")
+    bare = F.split(F.regexp_replace(_title(entity), r"\.", ""), " ")
     gender = F.lit("n")
-    for g, titles in TITLES.items():
-        gender = F.when(bare.isin(titles), g).otherwise(gender)
+    for g in ("m", "f"):
+        gender = F.when(F.arrays_overlap(bare, F.array(*map(F.lit, TITLES[g]))), g).otherwise(gender)
     return gender
 
 
@@ -170,6 +187,20 @@ def _invented(word: Column, part: Column, gender: Column, seed: Column, tweak: i
     return F.when(word.rlike(r"\p{IsCyrillic}"), spelled(*cyrillic)).otherwise(spelled(*latin))
 
 
+def _new_words(words: Column, gender: Column, seed: Column, tweak: int) -> Column:
+    """Given names but for the last word, the family name; initials stay initials, particles stay."""
+
+    def new(word: Column, i: Column) -> Column:
+        part = F.when(i == F.size(words) - 1, "family").otherwise("given")
+        initial = F.concat(F.upper(_permuted(F.lower(F.substring(word, 1, 1)), F.concat(seed, F.lit("initial")), [_LETTERS])), F.substring(word, 2, 1))
+        return (
+            F.when(word.rlike(rf"^{_PARTICLE}$"), word).when(word.rlike(r"^[A-Z]\.?$"), initial)
+            .otherwise(_invented(word, part, gender, seed, tweak))
+        )
+
+    return F.transform(words, new)
+
+
 def canonical(entity: Column, kind: Column) -> Column:
     """What makes two mentions the same: digits of numbers, lower case of addresses and names."""
     number = kind.isin("card", "ssn")
@@ -189,7 +220,7 @@ def surrogate(entity: Column, kind: Column, key: str = KEY, tweak: int = 0) -> C
     different ones stay different; separators, letter case, the country code of a phone and the
     Luhn remainder of a card stay. Domains are permuted by themselves, so addresses of one
     domain share one. Names get syllables of their script, an ending of their title's gender,
-    the same word always the same; more syllables with each tweak.
+    the same word always the same; initials and particles stay such; more syllables with each tweak.
     """
     seed = F.lit(f"{key}|{tweak}|")
     low = F.lower(entity)
@@ -197,7 +228,7 @@ def surrogate(entity: Column, kind: Column, key: str = KEY, tweak: int = 0) -> C
     alnum = [_DIGITS, _LETTERS]
     local, domain = F.substring_index(low, "@", 1), F.substring_index(low, "@", -1)
     email = F.concat(_permuted(local, own("local"), alnum), F.lit("@"), _permuted(domain, own("domain"), alnum))
-    secret = F.when(low.rlike("^[0-9a-f]+$"), _permuted(low, own("hex"), [_HEX])).otherwise(_permuted(low, own("key"), alnum))
+    secret = F.when(low.rlike("^[0-9a-f]+$"), _permuted_blocks(low, own("hex"), [_HEX])).otherwise(_permuted_blocks(low, own("key"), alnum))
 
     octets = F.transform(F.split(entity, r"\."), lambda x: x.cast("int"))
 
@@ -221,10 +252,7 @@ def surrogate(entity: Column, kind: Column, key: str = KEY, tweak: int = 0) -> C
     phone = F.concat(code, _refilled(rest, _permuted(_digits(rest), own("phone"), [_DIGITS])))
 
     words, gender = _name_words(entity), _gender(entity)
-    last = F.element_at(words, -1)
-    family = _invented(last, F.lit("family"), gender, own("name"), tweak)
-    given = _invented(words[0], F.lit("given"), gender, own("name"), tweak)
-    name = F.concat(_title(entity), F.when(F.size(words) > 1, F.concat(given, F.lit(" "), family)).otherwise(family))
+    name = F.concat(_title(entity), F.array_join(_new_words(words, gender, own("name"), tweak), " "))
 
     return (
         F.when(kind == "email", _shaped(entity, email))
@@ -243,7 +271,7 @@ def entities(text: Column) -> Column:
 def collisions(found: DataFrame, key: str, tweak: int) -> tuple[int, int]:
     """Of distinct entities: surrogates that two of them share, and entities left as they are."""
     made = found.select("kind", "canonical", F.lower(surrogate(F.col("entity"), F.col("kind"), key, tweak)).alias("s"), F.lower("entity").alias("e"))
-    made = made.withColumn("same", F.when(F.col("kind").isin("card", "ssn", "phone"), _digits(F.col("s"))).when(F.col("kind") == "name", F.regexp_replace("s", r"^\S+ ", "")).otherwise(F.col("s")))
+    made = made.withColumn("same", F.when(F.col("kind").isin("card", "ssn", "phone"), _digits(F.col("s"))).when(F.col("kind") == "name", F.regexp_replace("s", f"(?i)^{_TITLES}", "")).otherwise(F.col("s")))
     shared = made.groupBy("kind", "same").agg(F.count_distinct("canonical").alias("n"))
     row = shared.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")).first()
     return row["n"], made.filter("s = e").count()
@@ -270,12 +298,52 @@ def choose_tweak(docs: DataFrame, text: str = "text", key: str = KEY) -> int:
     return distinct
 
 
-def replaced(text: Column, key: str = KEY, tweak: int = 0) -> Column:
-    """A text with every mention replaced; null stays null."""
-    pieces = F.split(text, PATTERN, -1)
-    new = F.transform(entities(text), lambda m: surrogate(m["entity"], m["kind"], key, tweak))
+def _bare(found: Column, key: str, tweak: int) -> Column:
+    """What titled names of a text are without the title, ``bare, new``: whole names and single words, longer ones first."""
+    seed = F.lit(f"{key}|{tweak}|name")
+    titled = F.transform(F.filter(found, lambda m: m["kind"] == "name"), lambda m: m["entity"])
+
+    def forms(entity: Column) -> Column:
+        words = _name_words(entity)
+        new = _new_words(words, _gender(entity), seed, tweak)
+        singles = F.zip_with(words, new, lambda w, n: F.struct(w.alias("bare"), n.alias("new")))
+        singles = F.filter(singles, lambda z: z["bare"].rlike(r"^\p{Lu}.*[^.]$"))
+        whole = F.struct(F.array_join(words, " ").alias("bare"), F.array_join(new, " ").alias("new"))
+        return F.concat(F.array(whole), F.reverse(singles))
+
+    pairs = F.flatten(F.transform(titled, forms))
+    length = lambda z: F.char_length(z["bare"])
+    return F.array_sort(F.filter(pairs, lambda z: length(z) > 1), lambda x, y: length(y) - length(x))
+
+
+def _pattern(bare: Column) -> Column:
+    """PATTERN, and the bare names of one text after it."""
+    quoted = F.array_distinct(F.transform(bare, lambda z: F.replace(z["bare"], F.lit("."), F.lit("\\."))))
+    names = F.concat(F.lit(r"|(?<![\p{L}\p{M}])(?:"), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}\p{M}])"))
+    return F.concat(F.lit(PATTERN), F.when(F.size(quoted) > 0, names).otherwise(""))
+
+
+def _with_mentions(docs: DataFrame, text: str, key: str, tweak: int) -> DataFrame:
+    """Adds ``_found``, the mentions of a text, and ``_new``, the text with them replaced; null stays null.
+
+    A name that stands after a title is also found where it stands without one in the same text.
+    """
+    none = F.array().cast("array<struct<kind:string,entity:string>>")
+    some = docs.withColumn("_found", F.when(F.col(text).rlike(_HINT), entities(F.col(text))).otherwise(none))
+    some = some.withColumn("_named", F.exists("_found", lambda m: m["kind"] == "name"))
+    some = some.withColumn("_bare", F.when(F.col("_named"), _bare(F.col("_found"), key, tweak)))
+    some = some.withColumn("_pattern", F.when(F.col("_named"), _pattern(F.col("_bare"))))
+    every = F.transform(F.regexp_extract_all(F.col(text), F.col("_pattern"), F.lit(0)), lambda e: F.struct(
+        F.when(F.exists("_bare", lambda z: z["bare"] == e), "name").otherwise(kind_of(e)).alias("kind"), e.alias("entity")
+    ))
+    some = some.withColumn("_found", F.when(F.col("_named"), every).otherwise(F.col("_found")))
+    pieces = F.when(F.col("_named"), F.split(F.col(text), F.col("_pattern"), -1)).otherwise(F.split(F.col(text), PATTERN, -1))
+    new = F.transform("_found", lambda m: F.coalesce(
+        F.get(F.filter("_bare", lambda z: z["bare"] == m["entity"]), F.lit(0))["new"], surrogate(m["entity"], m["kind"], key, tweak)
+    ))
     joined = F.zip_with(pieces, new, lambda p, s: F.concat(p, F.coalesce(s, F.lit(""))))
-    return F.when(text.rlike(_HINT), F.array_join(joined, "")).otherwise(text)
+    some = some.withColumn("_new", F.when(F.size("_found") > 0, F.array_join(joined, "")).otherwise(F.col(text)))
+    return some.drop("_named", "_bare", "_pattern")
 
 
 def replace_entities(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
@@ -286,17 +354,14 @@ def replace_entities(docs: DataFrame, text: str = "text", key: str = KEY) -> Dat
     and clashing column names do not matter.
     """
     tweak = choose_tweak(docs, text, key)
-    return docs.withColumn(text, replaced(F.col(text), key, tweak))
+    found = _with_mentions(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_text")), "_text", key, tweak)
+    return found.select(*[F.col("_new").alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def surrogate_report(docs: DataFrame, key_column: str = "doc_id", text: str = "text", key: str = KEY) -> DataFrame:
     """``key, text, n_entities`` and a count for each type, for every row."""
     tweak = choose_tweak(docs, text, key)
-    found = F.when(F.col(text).rlike(_HINT), entities(F.col(text))).otherwise(F.array().cast("array<struct<kind:string,entity:string>>"))
+    rows = _with_mentions(docs.select(F.col(key_column), F.col(text).alias("_text")), "_text", key, tweak)
     kinds = F.transform("_found", lambda m: m["kind"])
     counts = [(F.size("_found") - F.size(F.array_remove(kinds, k))).alias(f"n_{k}") for k in KINDS]
-    rows = docs.select(F.col(key_column), F.col(text).alias("_text"), found.alias("_found"))
-    return rows.select(
-        key_column, replaced(F.col("_text"), key, tweak).alias("text"),
-        F.size("_found").alias("n_entities"), *counts,
-    )
+    return rows.select(key_column, F.col("_new").alias("text"), F.size("_found").alias("n_entities"), *counts)

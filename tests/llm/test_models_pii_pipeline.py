@@ -180,6 +180,26 @@ def test_texts_with_one_entity_pass_the_hint(spark):
     assert all(r.n_entities == 1 and r.text != alone[r.doc_id] for r in rows)
 
 
+def test_whole_names_and_long_secrets(spark):
+    names = ["Mr O'Brien", "Dr Jean-Luc Picard", "Ms McDonald", "Dr Anna Maria Lopez", "Mr. J. Smith", "Prof. Dr. Ludwig van Beethoven"]
+    secrets = ["0123456789abcdef" * 10, "sk-" + "aB3" * 60, "ab" * 1_000]
+    texts = [*(f"Then {n} spoke." for n in names), *(f"key {s} end" for s in secrets),
+             "Mrs Anna Lopez came. Lopez's car; Anna Lopez, and Anna. Lopezian"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in surrogates.surrogate_report(docs).collect()}
+    for i in range(len(names)):
+        assert rows[i].n_name == rows[i].n_entities == 1
+        assert not re.search(r"Brien|Jean|Luc|Picard|Donald|Anna|Maria|Lopez|Smith|Ludwig|Beethoven", rows[i].text)
+    assert re.fullmatch(r"Then Mr\. [A-Z]\. [A-Z][a-z]+ spoke\.", rows[4].text)
+    for i, secret in enumerate(secrets, len(names)):
+        assert rows[i].n_secret == 1 and len(rows[i].text) == len(texts[i]) and secret[-40:] not in rows[i].text
+    last = re.fullmatch(r"Mrs (\w+) (\w+) came\. (\w+)'s car; (\w+) (\w+), and (\w+)\. Lopezian", rows[len(texts) - 1].text)
+    a, b, c, d, e, f = last.groups()
+    assert a == d == f != "Anna" and b == c == e != "Lopez" and rows[len(texts) - 1].n_name == 4
+    again = [r.text for r in surrogates.replace_entities(docs).orderBy("doc_id").collect()]
+    assert again == [rows[i].text for i in range(len(texts))]
+
+
 def test_surrogates_are_distinct(spark):
     rng = random.Random(8)
     phones = {f"+1 ({rng.randint(100, 999)}) {rng.randint(100, 999)}-{rng.randint(0, 9999):04d}" for _ in range(400)}
