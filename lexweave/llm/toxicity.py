@@ -122,6 +122,8 @@ class Model:
     rate: float
     edges: np.ndarray
     chance: np.ndarray
+    #: False if no labelled row was there to calibrate with; every score is then 0.5.
+    calibrated: bool = True
 
     def segments(self, texts: pa.Array) -> list[list[tuple[float, int, int]]]:
         """Significant segments of each text: bits beyond chance, first and last word."""
@@ -203,6 +205,7 @@ def fit(rows: DataFrame) -> Model:
         ones[r["bin"]], total[r["bin"]] = r["ones"], r["n"]
     share = (ones.sum() + 0.5) / (total.sum() + 1)
     used = np.flatnonzero(total) if total.any() else np.arange(1)
+    model.calibrated = bool(total.any())
     model.edges = used / 8
     model.chance = monotone(ones[used] + share / 2, total[used] + 0.5)
     return model
@@ -259,6 +262,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROW
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS,
                threshold: float = TOXIC, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents that score under the threshold, with all their columns."""
+    """Documents that score under the threshold, with all their columns.
+
+    Without labels to calibrate with nothing is known to be toxic, and all documents stay.
+    """
     model = fit(materialize(training_rows(docs, labels, "toxic", bound, key, text), "toxic-rows"))
-    return docs.filter(toxic_score(text, model) < threshold)
+    return docs.filter(toxic_score(text, model) < threshold) if model.calibrated else docs

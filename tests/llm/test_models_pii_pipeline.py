@@ -95,6 +95,10 @@ def test_toxic_passages_are_found(spark):
     assert [r.doc_id for r in toxicity.drop_toxic(frame.union(docs.select("doc_id", "text").filter("false")), marks).collect()]
 
 
+def test_nothing_is_dropped_without_labels(odd_docs, labels):
+    assert toxicity.drop_toxic(odd_docs, labels.filter("false")).count() == odd_docs.count()
+
+
 def test_quality_on_held_out_rows(spark):
     docs, marks = tables(spark)
     rows = quality.score_quality(docs, marks).join(marks, "doc_id").collect()
