@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     decontam,
@@ -11,6 +11,7 @@ from . import (
     quality,
     sharding,
     simhash_dedup,
+    substring_dedup,
     surrogates,
     token_counts,
     toxicity,
@@ -72,11 +73,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"]).alias("n_removed"),
+        F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_decontamination, op3_sharding, op4_token_counts, op5_toxicity,
         op6_fingerprints, op7_surrogates, op8_quality, op9_simhash_dedup, op10_packing,
+        op13_substring_dedup,
     )
 }
 
@@ -108,5 +119,25 @@ n AS (SELECT item_id, count(*) AS size FROM b GROUP BY item_id),
 h AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, shared, size, shared / size AS containment
 FROM h JOIN n USING (item_id) WHERE shared >= ceil(0.8 * size - 1e-9)
+""",
+    "op13_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w)
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM g) WHERE r > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, i + unnest(range(0, 20)) AS p FROM later)
+  GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
+    CASE WHEN ps IS NULL THEN ws
+      ELSE [ws[p] FOR p IN range(1, len(ws) + 1) IF NOT list_contains(ps, p)] END AS ks
+  FROM w LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(ks, ' ')) AS kept_sha256 FROM kept
 """,
 }
