@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import materialize
-from .common import INK_BYTES, hash_spans, mix, steps, text_buffer, word_spans
+from .common import INK_BYTES, _powers as powers, hash_spans, mix, steps, text_buffer, word_spans
 
 #: A factor of fewer words is no duplicate span.
 WINDOW = 20
@@ -19,6 +19,10 @@ GRAM = 8
 #: Bytes of text in a reference block; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 23
 
+#: Kinds of rows that leave a block: a phrase to look up, one to check by windows, a copied run,
+#: and an anchor of several phrases.
+INDEX, OPEN, COPIED, MANY = range(4)
+
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _OTHER = np.uint64(0xA0761D6478BD642F)
 
@@ -32,6 +36,14 @@ def _runs(words: np.ndarray, at: np.ndarray | slice, n: int, step: np.uint64) ->
     return mix(out)
 
 
+def _long_runs(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words of each span, of any length."""
+    power, inverse = powers(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[: len(words)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def _block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a block, end to end, and the first word of each text."""
     buf, offsets = text_buffer(texts)
@@ -70,34 +82,72 @@ def _batch(columns: dict[str, tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(v, t) for v, t in columns.values()], list(columns))
 
 
-def _index_anchors(window: int, gram: int):
-    """Index rows of each block's anchors, one a distinct hash.
+def _ranks(part: pa.RecordBatch) -> np.ndarray:
+    """Place of each document of a block in the order of documents; equal ones share it."""
+    doc, tie = part.column("doc").to_numpy(), part.column("tie").to_numpy()
+    order = np.lexsort((tie, doc))
+    new = np.r_[False, (doc[order][1:] != doc[order][:-1]) | (tie[order][1:] != tie[order][:-1])]
+    rank = np.empty(len(doc), np.int64)
+    rank[order] = np.cumsum(new[: len(doc)])
+    return rank
 
-    An anchor that stands once in its block carries its place. One that stands again is already
-    known to repeat: its places come out as known, and the hash once more without a place, so a
-    frequent anchor is one row a block, however often it occurs.
+
+def _earliest_of(when: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the earliest row of equal keys, and the rows that are such."""
+    if not len(when):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    by = np.lexsort((when, *keys))
+    head = np.zeros(len(by), bool)
+    head[0] = True
+    for key in keys:
+        head[1:] |= key[by][1:] != key[by][:-1]
+    source = np.empty(len(by), np.int64)
+    source[by] = by[np.flatnonzero(head)[np.cumsum(head) - 1]]
+    return source, by[head]
+
+
+def _index_phrases(window: int, gram: int):
+    """Factors of documents against their own block, and index rows for all other blocks.
+
+    A phrase is the words of neighbouring windows with one anchor. Of equal phrases of a block
+    the earliest is the source of the rest; runs of phrases copied from consecutive places are
+    one factor row. An anchor with one phrase in its block goes on as an index row; one with
+    several goes on as MANY, and its phrases, which may share windows, come out as OPEN. So an
+    anchor is one keyed row a block, however often it occurs.
     """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch):
                 words, bounds = _block(part.column("text"))
-                _, row, at, h = anchors(words, bounds, window, gram)
-                head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
-                row, at, h = row[head], at[head] - bounds[row[head]], h[head]
-                _, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
-                again = counts[inverse] > 1 if len(h) else np.zeros(0, bool)
-                keys = np.concatenate([h[~again], _salted(int(again.sum()), h[again]), np.unique(h[again])])
-                pick = np.concatenate([np.flatnonzero(~again), np.flatnonzero(again)])
-                bare = len(keys) - len(pick)
-                doc = part.column("doc").to_numpy()[row[pick]]
-                tie = part.column("tie").to_numpy()[row[pick]]
+                place, row, at, h = anchors(words, bounds, window, gram)
+                head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
+                n = np.diff(np.r_[head, len(at)])
+                place, row, h = place[head], row[head], h[head]
+                start = place - bounds[row]
+                phrase = _long_runs(words, place, place + n + window - 1)
+                when = (_ranks(part)[row] << 32) + start
+                source, own = _earliest_of(when, n, phrase, h)
+                copied = np.flatnonzero(when > when[source])
+                first, ends = _merge(row[copied], start[copied], n[copied], place[source[copied]])
+                lead = copied[first]
+                length = start[copied[ends]] + n[copied[ends]] + window - 1 - start[lead]
+                _, inverse, counts = np.unique(h[own], return_inverse=True, return_counts=True)
+                several = counts[inverse] > 1
+                single, open_ = own[~several], own[several]
+                many = np.unique(h[open_])
+                pick = np.concatenate([single, open_, lead])
+                kind = np.repeat([INDEX, OPEN, COPIED, MANY], [len(single), len(open_), len(lead), len(many)])
+                key = np.concatenate([h[single], _salted(len(open_) + len(lead), h[np.concatenate([open_, lead])]), many])
+                bare = np.zeros(len(many), np.int64)
                 yield _batch({
-                    "h": (keys.view(np.int64), pa.int64()),
-                    "known": (np.arange(len(keys)) >= (~again).sum(), pa.bool_()),
-                    "doc": (np.r_[doc, np.zeros(bare, np.int64)], pa.int64()),
-                    "tie": (np.r_[tie, np.zeros(bare, np.int32)].astype(np.int32), pa.int32()),
-                    "at": (np.r_[at[pick], np.full(bare, -1)].astype(np.int32), pa.int32()),
+                    "h": (key.view(np.int64), pa.int64()),
+                    "phrase": (np.r_[(phrase[pick] >> np.uint64(33)).astype(np.int64), bare].astype(np.int32), pa.int32()),
+                    "kind": (kind.astype(np.int32), pa.int32()),
+                    "doc": (np.r_[part.column("doc").to_numpy()[row[pick]], bare], pa.int64()),
+                    "tie": (np.r_[part.column("tie").to_numpy()[row[pick]], bare].astype(np.int32), pa.int32()),
+                    "start": (np.r_[start[pick], bare].astype(np.int32), pa.int32()),
+                    "length": (np.r_[n[np.concatenate([single, open_])] + window - 1, length, bare].astype(np.int32), pa.int32()),
                 })
 
     return index
@@ -111,67 +161,59 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at += len(part)
 
 
-def _merge(row: np.ndarray, start: np.ndarray, source: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy factors of matched windows in order: first window of each, and its words.
+def _merge(row: np.ndarray, start: np.ndarray, n: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy factors of copied pieces in order: first and last piece of each.
 
-    A factor goes on while the next window is copied from the next place of the same source.
+    A factor goes on while the next piece is copied from the next place of the same source.
     """
     if not len(row):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    goes_on = (row[1:] == row[:-1]) & (start[1:] == start[:-1] + 1) & (source[1:] == source[:-1] + 1)
+    goes_on = (row[1:] == row[:-1]) & (start[1:] == start[:-1] + n[:-1]) & (source[1:] == source[:-1] + n[:-1])
     first = np.flatnonzero(np.r_[True, ~goes_on])
-    return first, np.diff(np.r_[first, len(row)]) + window - 1
+    return first, np.r_[first[1:] - 1, len(row) - 1]
 
 
-def _factor(window: int, gram: int):
-    """Factors of documents against their own block, and index rows of what the block has first.
+def _check_windows(window: int):
+    """Windows of open phrases one by one, against their own block and for all other blocks.
 
-    Only windows whose anchor repeats are looked up. Within the block the earliest of equal
-    windows is their source; runs copied from consecutive places become one factor row. The
-    earliest windows themselves go on to the blocks of all other documents.
+    Open phrases stand where a factor ends: their anchor repeats, their words as a whole do not.
+    Within the block the earliest of equal windows is the source of the rest, and runs of windows
+    become factor rows; the earliest ones go on, one index row a distinct window.
     """
 
-    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch):
                 words, bounds = _block(part.column("text"))
-                place, row, at, _ = anchors(words, bounds, window, gram)
-                listed = part.column("places")
-                owner = np.repeat(np.arange(len(part)), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
-                wanted = bounds[owner] + pc.list_flatten(listed).to_numpy()
-                pick = np.isin(at, wanted)
-                place, row = place[pick], row[pick]
-                doc, tie = part.column("doc").to_numpy(), part.column("tie").to_numpy()
-                # equal documents share a rank
-                order = np.lexsort((tie, doc))
-                new = np.r_[False, (doc[order][1:] != doc[order][:-1]) | (tie[order][1:] != tie[order][:-1])]
-                rank = np.empty(len(doc), np.int64)
-                rank[order] = np.cumsum(new)
-                start = place - bounds[row]
-                when = (rank[row] << 32) + start
+                pieces = part.column("pieces")
+                row = np.repeat(np.arange(len(part)), pc.list_value_length(pieces).to_numpy(zero_copy_only=False))
+                pieces = pc.list_flatten(pieces)
+                begin = pieces.field("start").to_numpy().astype(np.int64)
+                n = pieces.field("length").to_numpy().astype(np.int64) - window + 1
+                order = np.lexsort((begin, row))
+                row, begin, n = row[order], begin[order], n[order]
+                start = np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
+                row = np.repeat(row, n)
+                place = bounds[row] + start
                 a = _runs(words, place, window, _STEP)
                 b = (_runs(words, place, window, _OTHER) >> np.uint64(33)).astype(np.int32)
-                by = np.lexsort((when, b, a))
-                head = np.r_[True, (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])][: len(by)]
-                source = np.empty(len(by), np.int64)
-                source[by] = by[np.flatnonzero(head)[np.cumsum(head) - 1]] if len(by) else by
-                later = when > when[source]
-                got = np.flatnonzero(later)
-                first, length = _merge(row[got], start[got], place[source[got]], window)
-                copied = got[first]
-                own = by[head]  # one a distinct window
-                both = np.concatenate([own, copied])
-                n = len(own)
+                when = (_ranks(part)[row] << 32) + start
+                source, own = _earliest_of(when, b, a)
+                copied = np.flatnonzero(when > when[source])
+                first, ends = _merge(row[copied], start[copied], np.ones(len(copied), np.int64), place[source[copied]])
+                lead = copied[first]
+                length = start[copied[ends]] + window - start[lead]
+                both = np.concatenate([own, lead])
                 yield _batch({
-                    "a": (np.r_[a[own], _salted(len(copied), a[copied])].view(np.int64), pa.int64()),
-                    "b": (np.r_[b[own], b[copied]].astype(np.int32), pa.int32()),
-                    "doc": (doc[row[both]], pa.int64()),
-                    "tie": (tie[row[both]].astype(np.int32), pa.int32()),
+                    "a": (np.r_[a[own], _salted(len(lead), a[lead])].view(np.int64), pa.int64()),
+                    "b": (b[both].astype(np.int32), pa.int32()),
+                    "doc": (part.column("doc").to_numpy()[row[both]], pa.int64()),
+                    "tie": (part.column("tie").to_numpy()[row[both]].astype(np.int32), pa.int32()),
                     "start": (start[both].astype(np.int32), pa.int32()),
-                    "length": (np.r_[np.zeros(n, np.int64), length].astype(np.int32), pa.int32()),
+                    "length": (np.r_[np.zeros(len(own), np.int64), length].astype(np.int32), pa.int32()),
                 })
 
-    return factor
+    return check
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,8 +262,22 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _earliest(columns: list[str]) -> Column:
-    return F.min(F.struct("doc", "tie", "start")).over(Window.partitionBy(*columns))
+def _pieces(plain: DataFrame, window: int, gram: int) -> DataFrame:
+    """``doc, tie, start, length, open``: phrases copied as a whole, and those to check by window."""
+    index = plain.mapInArrow(
+        _index_phrases(window, gram), "h long, phrase int, kind int, doc long, tie int, start int, length int"
+    )
+    indexed = F.col("kind") == INDEX
+    own = F.struct("doc", "tie", "start")
+    index = index.withColumn("first", F.min(F.when(indexed, own)).over(Window.partitionBy("h", "phrase", "length")))
+    alike = Window.partitionBy("h")
+    met = F.when(indexed, F.struct("phrase", "length"))
+    index = index.withColumn(
+        "several", (F.max("kind").over(alike) == MANY) | (F.min(met).over(alike) < F.max(met).over(alike))
+    )
+    copied = (F.col("kind") == COPIED) | (indexed & (F.col("first") < own))
+    open_ = (F.col("kind") == OPEN) | (indexed & F.col("several"))
+    return index.filter(copied | open_).select("doc", "tie", "start", "length", (~copied).alias("open"))
 
 
 def repeated_spans(
@@ -229,42 +285,39 @@ def repeated_spans(
 ) -> DataFrame:
     """``doc_id, n_words, spans, kept`` per row: copied spans of words, and the words outside them.
 
-    The corpus is its own reference, cut into blocks of BLOCK_BYTES that are indexed by anchors:
-    of each window of ``window`` words the least hashed run of ``gram`` words. Anchors that stand
-    in one place of the whole corpus are dropped after one exchange; what they cover is new. The
-    other windows are looked up in their own block first, where runs copied from consecutive
-    places of an earlier source become factors, and then, one row a distinct window and block, in
-    the blocks of all documents. Each window that no factor holds, such as those across the
-    boundary of two factors, is looked up by itself, so a word is in a span exactly if a window
-    over it also starts earlier: in a document of smaller id, or before it in the same document.
+    The corpus is its own reference, cut into blocks of BLOCK_BYTES. Each window of ``window``
+    words is anchored at the least hashed of its runs of ``gram`` words, and neighbouring windows
+    of one anchor are a phrase; blocks are indexed by anchors and phrases. Documents are factored
+    greedily against their own block, where a factor goes on as long as phrases are copied from
+    consecutive places of an earlier source, and through one exchange, one row an anchor and
+    block, against all other blocks. A phrase whose anchor stands nowhere else is new. One whose
+    anchor repeats while its words as a whole do not lies at the boundary of factors: its windows
+    are looked up one by one in the same manner. So a word is in a span exactly if a window over
+    it also starts earlier: in a document of smaller id, or before it in the same document.
 
     Words are runs without ASCII white space, unchanged; windows are told apart by 95 bits of
     hashes. Equal rows (id and text) are one document and share its result; different texts of
     one id come in order of a hash of the text; null ids come last. A null, empty or short text
-    has no spans; an empty table gives no rows. A frequent window is one row a block, so no key
-    gathers more than a small share of the rows; no text is ever joined to another.
+    has no spans; an empty table gives no rows. A frequent anchor or window is one row a block,
+    so no key gathers more than a small share of the rows; no text is joined to another. Texts are
+    shuffled once: both joins by document read the same exchange.
     """
     if not 0 < gram <= window:
         raise ValueError(f"an anchor of {gram} words does not fit a window of {window}")
     rows = _keyed(docs, key, text)
-    plain = rows.select("doc", "tie", "text")
-    index = plain.mapInArrow(_index_anchors(window, gram), "h long, known boolean, doc long, tie int, at int")
-    met = index.withColumn("n", F.count("*").over(Window.partitionBy("h")))
-    met = met.filter((F.col("at") >= 0) & (F.col("known") | (F.col("n") > 1)))
-    places = materialize(
-        met.groupBy("doc", "tie").agg(F.collect_set("at").alias("places")), "substring-places"
-    )
-    factors = plain.join(places, ["doc", "tie"]).mapInArrow(
-        _factor(window, gram), "a long, b int, doc long, tie int, start int, length int"
+    pieces = materialize(_pieces(rows.select("doc", "tie", "text"), window, gram), "substring-pieces")
+    to_check = pieces.filter("open").groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "length")).alias("pieces"))
+    windows = rows.join(to_check, ["doc", "tie"]).mapInArrow(
+        _check_windows(window), "a long, b int, doc long, tie int, start int, length int"
     )
-    factors = factors.withColumn("first", _earliest(["a", "b"]))
     own = F.struct("doc", "tie", "start")
-    copied = factors.filter((F.col("length") > 0) | (F.col("first") < own))
-    copied = copied.withColumn("length", F.when(F.col("length") > 0, F.col("length")).otherwise(window))
-    lists = materialize(
-        copied.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "length")).alias("factors")),
-        "substring-factors",
+    windows = windows.withColumn("first", F.min(own).over(Window.partitionBy("a", "b")))
+    windows = windows.filter((F.col("length") > 0) | (F.col("first") < own))
+    length = F.when(F.col("length") > 0, F.col("length")).otherwise(window)
+    copied = windows.select("doc", "tie", "start", length.alias("length")).union(
+        pieces.filter("NOT open").select("doc", "tie", "start", "length")
     )
+    lists = copied.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "length")).alias("factors"))
     found = rows.join(lists, ["doc", "tie"], "left")
     result = _kept("text", F.col("factors.start"), F.col("factors.length"))
     return found.select("doc_id", result.alias("r")).select("doc_id", "r.*")
