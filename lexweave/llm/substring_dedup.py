@@ -269,12 +269,13 @@ def _pieces(plain: DataFrame, window: int, gram: int) -> DataFrame:
     )
     indexed = F.col("kind") == INDEX
     own = F.struct("doc", "tie", "start")
-    index = index.withColumn("first", F.min(F.when(indexed, own)).over(Window.partitionBy("h", "phrase", "length")))
     alike = Window.partitionBy("h")
-    met = F.when(indexed, F.struct("phrase", "length"))
+    met = F.when(indexed, F.col("phrase"))
     index = index.withColumn(
         "several", (F.max("kind").over(alike) == MANY) | (F.min(met).over(alike) < F.max(met).over(alike))
     )
+    # rows stay where the window before put them
+    index = index.withColumn("first", F.min(F.when(indexed, own)).over(Window.partitionBy("h", "phrase")))
     copied = (F.col("kind") == COPIED) | (indexed & (F.col("first") < own))
     open_ = (F.col("kind") == OPEN) | (indexed & F.col("several"))
     return index.filter(copied | open_).select("doc", "tie", "start", "length", (~copied).alias("open"))
