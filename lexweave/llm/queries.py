@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import (
     decontam,
     fingerprints,
+    hard_negatives,
     packing,
     quality,
     sharding,
@@ -16,6 +17,7 @@ from . import (
     token_counts,
     toxicity,
     warc,
+    whitening,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -73,6 +75,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    rows = rows.select("*", F.posexplode("whitened").alias("k", "value"))
+    return rows.select(
+        "vec_id", (F.col("k") + 1).alias("component"), "n", F.col("deviation").cast("long"), F.col("value").alias("whitened"),
+        F.col("explained")[F.col("k")].alias("explained"), "identity_error",
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), "embedding")
+    found = hard_negatives.mine_negatives(rows, anchors=F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
     return found.select(
@@ -87,7 +106,7 @@ QUERIES = {
     for f in (
         op1_warc, op2_decontamination, op3_sharding, op4_token_counts, op5_toxicity,
         op6_fingerprints, op7_surrogates, op8_quality, op9_simhash_dedup, op10_packing,
-        op13_substring_dedup,
+        op11_whitening, op12_hard_negatives, op13_substring_dedup,
     )
 }
 
@@ -119,6 +138,28 @@ n AS (SELECT item_id, count(*) AS size FROM b GROUP BY item_id),
 h AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, shared, size, shared / size AS containment
 FROM h JOIN n USING (item_id) WHERE shared >= ceil(0.8 * size - 1e-9)
+""",
+    "op12_hard_negatives": """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * c::DOUBLE) FOR c IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_sum([a.v[i] * b.v[i] FOR i IN range(1, len(a.v) + 1)])::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
 """,
     "op13_substring_dedup": r"""
 WITH w AS (
