@@ -29,7 +29,8 @@ def interleave(rows: DataFrame, stratum: str, key: str, shards: int = SHARDS, se
     n = rows.count()
     order = [F.col(stratum), F.col("_seeded"), F.col(key), *[F.col(c) for c in rows.columns if c not in (stratum, key)]]
     first = ranked(rows.withColumn("_seeded", seeded(F.col(key), seed)), order, "shard-strata", "_rank")
-    name = F.struct(F.col(stratum)).cast("string")
+    # null is a stratum of its own, apart from a source of that name
+    name = F.coalesce(F.concat(F.lit("{"), F.col(stratum).cast("string"), F.lit("}")), F.lit("null"))
     first = materialize(first.withColumn("_stratum", name), "shard-ranked")
     sizes = first.groupBy("_stratum").agg(F.min("_rank").alias("_first"), F.count("*").alias("_size"))
     sizes = materialize(sizes.withColumn("_n", F.col("_size")), "shard-sizes")

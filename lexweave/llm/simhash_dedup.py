@@ -11,7 +11,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import materialize
-from . import similar
 from .common import attach
 from .components import components
 
@@ -180,35 +179,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     like any other. Null keys keep their rows; a group of null keys only has component null.
     Repeated rows and an empty table are fine. Only the two columns named are read.
     """
-    rows = materialize(docs.select(F.col(key).alias(key), fingerprint_udf(text).alias("fp")), "simhash")
+    rows = docs.select(F.col(key).alias(key), fingerprint_udf(text).alias("fp"))
+    return _grouped(rows, key).select(key, "fp", "component")
+
+
+def _grouped(rows: DataFrame, key: str) -> DataFrame:
+    """Adds ``root``, a value that names the group of ``fp``, and ``component``, its least key."""
+    rows = materialize(rows, "simhash")
     prints = materialize(
         rows.groupBy("fp").agg(F.min(key).alias("least"), F.count("*").alias("n")), "simhash-values"
     )
-    return _grouped(rows, prints, materialize(link_fingerprints(prints), "simhash-links"), key)
-
-
-def similar_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text",
-    n: int = similar.SHINGLE, similarity: float = similar.SIMILARITY,
-) -> DataFrame:
-    """``key, fp, component`` per row: an id of the text's words and the least key of its group.
-
-    Groups are the components of all pairs with Jaccard similarity ``similarity`` or more of
-    their ``n``-word shingles. Candidates share a MinHash band and each is checked on the exact
-    shingle sets; a pair of similarity 0.8 shares none with probability 1.3e-7. A text of fewer
-    words is one shingle. Null, empty and blank texts are one group; keys as in near_duplicates.
-    """
-    rows = materialize(similar.sketched(docs, key, text, n), "similar")
-    values = materialize(rows.groupBy("fp").agg(
-        F.min(key).alias("least"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands")
-    ), "similar-values")
-    links = similar.link_similar(values, docs, text, n, similarity)
-    return _grouped(rows.select(key, "fp"), values.select("fp", "least", "n"), links, key)
-
-
-def _grouped(rows: DataFrame, prints: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    """Rows ``key, fp`` with the least key of their value's component over the links."""
-    roots = components(links, "simhash-parts")
+    roots = components(materialize(link_fingerprints(prints), "simhash-links"), "simhash-parts")
     # values outside every link are their own group; a group of values may be large
     named = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", "n", F.coalesce("root", "fp").alias("root")
@@ -217,25 +198,26 @@ def _grouped(rows: DataFrame, prints: DataFrame, links: DataFrame, key: str) ->
     groups = named.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("size"))
     groups = materialize(groups, "simhash-groups")
     facts = attach(named, groups, "root", "size", named.count(), F.col("fp"))
-    facts = materialize(facts.select("fp", "n", "component"), "simhash-facts")
+    facts = materialize(facts.select("fp", "n", "root", "component"), "simhash-facts")
     return attach(rows, facts, "fp", "n", rows.count(), F.xxhash64(key, "fp"))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Keeps of each group of similar documents the row with the least key, with all its columns.
+    """Keeps of each group of ``near_duplicates`` the row with the least key, with all its columns.
 
-    Groups are those of ``similar_documents``: five words, similarity 0.8.
-    Of repeated rows with that key one stays. Rows with a null key stay only if their whole
-    group has none, then one of them.
+    Of several rows of a group with that key one stays: the one whose text has the least hash,
+    and of equal texts any. A group whose rows all have null keys keeps one of them; null keys
+    come after all others. Null, empty and blank texts are a group like any other. Columns of any
+    name come back as they are; an empty table gives no rows.
     """
-    found = similar_documents(docs, key, text)
-    keep = found.filter(F.col(key).eqNullSafe(F.col("component")))
-    # several rows may carry the least key; one fingerprint of it stands for the group
-    keep = keep.groupBy(_name(key).alias("_simhash_key"), "component").agg(F.min("fp").alias("_simhash_fp"))
-    mine = docs.withColumn("_simhash_key", _name(key)).withColumn("_simhash_fp", similar.text_id(text))
-    kept = mine.join(keep.drop("component"), ["_simhash_key", "_simhash_fp"], "left_semi")
-    return kept.dropDuplicates(["_simhash_key", "_simhash_fp"]).select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def _name(key: str) -> Column:
-    return F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    told = F.xxhash64(F.col(text))
+    name = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null"))
+    rows = docs.select(F.col(key).alias("key"), fingerprint_udf(text).alias("fp"), name.alias("name"), told.alias("told"))
+    found = _grouped(rows, "key").filter(F.col("key").eqNullSafe(F.col("component")))
+    texts = found.groupBy("root", "name", "told").agg(F.count("*").alias("n"))
+    keep = texts.groupBy("root", "name").agg(F.min(F.struct("told", "n")).alias("one"))
+    keep = materialize(keep.select("name", "one.told", "one.n"), "simhash-kept")
+    mine = docs.select(F.struct("*").alias("row"), name.alias("name"), told.alias("told"))
+    single = mine.join(keep.filter("n = 1"), ["name", "told"], "left_semi")
+    repeated = mine.join(keep.filter("n > 1"), ["name", "told"], "left_semi").dropDuplicates(["name", "told"])
+    return single.union(repeated).select("row.*")

@@ -118,6 +118,15 @@ def test_shards_match_the_mixture(sample, odd_docs, no_docs):
     assert sharding.shard_documents(no_docs).count() == 0
 
 
+def test_null_source_is_apart_from_its_name(spark):
+    rows = [(i, f"text {i}", None if i % 2 else "null") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    counts = defaultdict(int)
+    for r in sharding.shard_documents(docs).collect():
+        counts[r.shard, r.source] += 1
+    assert all(counts[s, source] == 5 for s in range(40) for source in (None, "null"))
+
+
 def test_shards_equal_a_plain_sort(sample):
     rows = [(r.source, hashlib.md5(f"17:{r.doc_id}".encode()).hexdigest(), r.doc_id) for r in sample.collect()]
     sizes, seen, order = Counter(r[0] for r in rows), Counter(), []
