@@ -1,20 +1,21 @@
-"""Corpus encoding and decoding by joins on distinct words."""
+"""Corpus encoding and decoding, each one projection."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..constants import SPECIAL_TOKENS, WORD_PATTERN
 from ..functions.text import words
 from ..functions.tokens import byte_ids
-from ..session import materialize
 from .vocabulary import Vocabulary
 
-# A word making up at least 1/HOT_SHARE of a corpus is hot; there are at most HOT_SHARE.
-HOT_SHARE = 2048
+#: Distinct words whose ids a task remembers.
+SEEN_WORDS = 200_000
 
 
 def word_encoder(vocabulary: Vocabulary) -> Callable[[str], list[int]]:
@@ -70,65 +71,73 @@ def text_encoder(vocabulary: Vocabulary) -> Callable[[str], list[int]]:
     return encode_text
 
 
-def token_count_udf(vocabulary: Vocabulary):
-    """Token length of short texts (prompts) as an Arrow function."""
-    encode_text = text_encoder(vocabulary)
+def _words_to_ids(listed: pa.Array, replay: Callable[[str], list[int]], seen: dict) -> tuple:
+    """Codes of all words of a batch of word lists, and ids and id counts of its distinct words."""
+    coded = pc.dictionary_encode(listed.flatten())
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    distinct = coded.dictionary.to_pylist()
+    if len(seen) > SEEN_WORDS:
+        seen.clear()
+    for word in distinct:
+        if word not in seen:
+            seen[word] = np.array(replay(word), np.int32)
+    ids = [seen[word] for word in distinct]
+    return coded.indices.to_numpy(zero_copy_only=False), ids, np.array([len(i) for i in ids], np.int64)
 
-    @F.pandas_udf("int")
-    def count(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: len(encode_text(t))).astype("int32")
 
-    return count
+def _row_ends(listed: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """Where each row's tokens end, from the token counts of all its words; null rows hold none."""
+    words = pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(words)]
 
 
-def word_lexicon(word_table: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
-    """``word, ids``: merges replayed once per distinct word."""
-    encode = word_encoder(vocabulary)
-    columns = ["word", *keep]
+def token_ids(vocabulary: Vocabulary) -> Callable[[Column], Column]:
+    """Column function text -> token ids; null stays null.
+
+    Texts are cut to words inside the JVM. A task replays the merges once per distinct word of an
+    Arrow batch, remembering up to SEEN_WORDS, so nothing is shuffled and no word is hot.
+    """
+    if not vocabulary.merges:
+        return byte_ids
+    replay = word_encoder(vocabulary)
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        seen: dict[str, np.ndarray] = {}
+        for listed in batches:
+            codes, ids, counts = _words_to_ids(listed, replay, seen)
+            flat = np.concatenate([np.zeros(0, np.int32), *ids])
+            first, sizes = (np.cumsum(counts) - counts)[codes], counts[codes]
+            # the ids of word k stand in a row from first[k] on
+            within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            ends = np.concatenate([[0], _row_ends(listed, sizes)])
+            values = pa.array(flat[np.repeat(first, sizes) + within])
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values, mask=listed.is_null())
+
+    return lambda text: encode(words(text))
 
-    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(ids=[encode(w) for w in batch["word"]])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in word_table.select(*columns).schema)
-    return word_table.select(*columns).mapInPandas(replay, f"{fields}, ids ARRAY<INT>")
+def token_count_udf(vocabulary: Vocabulary) -> Callable[[Column | str], Column]:
+    """Column function text -> number of tokens, without building the ids of a text."""
+    replay = word_encoder(vocabulary)
+
+    @F.arrow_udf(T.IntegerType())
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        seen: dict[str, np.ndarray] = {}
+        for listed in batches:
+            codes, _, counts = _words_to_ids(listed, replay, seen)
+            ends = _row_ends(listed, counts[codes])
+            yield pa.array(np.diff(ends, prepend=0).astype(np.int32), mask=listed.is_null().to_numpy(zero_copy_only=False))
+
+    return lambda text: count(words(F.col(text) if isinstance(text, str) else text))
 
 
 def encode_corpus(
     docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``key, ids`` for every row.
-
-    Without merges this is one projection. Otherwise distinct words are encoded once
-    and joined back. Hot words, at most ``HOT_SHARE`` by their share, are joined by
-    broadcast; all others shuffle, none of them with more than ``1/HOT_SHARE`` of rows.
-    """
-    if not vocabulary.merges:
-        return docs.select(key, byte_ids(F.col(text)).alias("ids"))
-
-    found = docs.select(key, F.posexplode(words(F.col(text))).alias("pos", "word"))
-    # replay is CPU-bound, so distinct words are spread evenly however few bytes they are
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = found.groupBy("word").agg(F.count("*").alias("n")).repartition(parts, "word")
-    lexicon = materialize(word_lexicon(counts, vocabulary, "n"), "lexicon")
-    total = lexicon.agg(F.sum("n")).first()[0] or 0
-    is_hot = F.col("n") * HOT_SHARE >= total
-    hot = lexicon.filter(is_hot).select("word", "ids")
-    rare = lexicon.filter(~is_hot).select("word", "ids")
-    # the share bound limits this list to HOT_SHARE words
-    hot_words = F.broadcast(hot)
-    pieces = found.join(hot_words, "word").unionByName(
-        found.join(F.broadcast(hot.select("word")), "word", "left_anti").join(rare, "word")
-    )
-    encoded = pieces.groupBy(key).agg(
-        F.flatten(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda p: p["ids"]
-            )
-        ).alias("ids")
-    )
-    empty = docs.filter(F.length(text) == 0).select(key, F.array().cast("array<int>").alias("ids"))
-    return encoded.unionByName(empty)
+    """``key, ids`` for every row: one projection, with or without merges."""
+    return docs.select(key, token_ids(vocabulary)(F.col(text)).alias("ids"))
 
 
 def decode_ids(ids: Column, vocabulary: Vocabulary, skip_special: bool = False) -> Column:

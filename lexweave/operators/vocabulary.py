@@ -1,16 +1,23 @@
 """Byte-pair vocabulary: word counts, pair counts, distributed merge learning.
 
-Learning keeps two tables in shared storage: the distinct words with their counts and
-the pair counts. One round takes the best pairs, accepts as many as provably do not
-influence each other, rewrites only the words that hold one of them and adds the count
-changes to the pair table. The driver sees at most ``CANDIDATES`` rows a round.
+Learning keeps the distinct words with their counts in shared storage. A round ranks the
+pairs and cuts every word where a neighbouring pair counts less than a floor. Merges that
+count at least the floor can neither cross such a cut nor be changed by what lies beyond
+it, so the counted distinct pieces decide all of them, often hundreds, at once. The driver
+sees at most ``CANDIDATES`` pairs and ``PIECE_CHARS`` symbols of pieces a round: the floor
+rises until they fit.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import BYTE_VOCAB_SIZE, EOS_TOKEN, PAD_TOKEN, SPECIAL_TOKENS
@@ -18,7 +25,6 @@ from ..functions.text import line_pieces, pretokens
 from ..functions.tokens import (
     MAX_SYMBOLS,
     adjacent_pairs,
-    apply_merges,
     byte_order,
     plain_byte_symbols,
     symbol,
@@ -26,7 +32,11 @@ from ..functions.tokens import (
 )
 from ..session import materialize
 
-CANDIDATES = 1024
+CANDIDATES = 8192
+#: Ranked pairs of the first round; later rounds double or halve them with the pieces' size.
+FIRST_PAIRS = 64
+PIECE_CHARS = 1 << 20
+_WORD_END = "\0"
 
 
 @dataclass(frozen=True)
@@ -122,41 +132,6 @@ def pair_counts(histogram: DataFrame) -> DataFrame:
     )
 
 
-def _accept(candidates, truncated: bool, room: int, min_frequency: int):
-    """Longest prefix of ranked pairs that can be merged in one go.
-
-    A merge changes only counts of pairs that share its right or left symbol the other
-    way round, and a pair it creates counts no more than such a neighbour, which ranks
-    lower. So the prefix stops before the first pair that touches an accepted one, at
-    self pairs, and before a group of equal counts holding a pair that touches one.
-    """
-    accepted, lefts, rights = [], set(), set()
-    last_count = candidates[-1][2] if candidates and truncated else None
-
-    def touches(left, right):
-        return left in rights or right in lefts
-
-    for position, (left, right, count) in enumerate(candidates):
-        if count < min_frequency or len(accepted) >= room:
-            break
-        if accepted:
-            if left == right or touches(left, right) or count == last_count:
-                break
-            tied = position + 1
-            clash = False
-            while tied < len(candidates) and candidates[tied][2] == count:
-                clash = clash or touches(*candidates[tied][:2])
-                tied += 1
-            if clash:
-                break
-        accepted.append((left, right, count))
-        lefts.add(left)
-        rights.add(right)
-        if left == right:
-            break
-    return accepted
-
-
 def _store_words(words: DataFrame) -> DataFrame:
     """Words that can still merge, spread evenly for the rounds to come."""
     parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -165,34 +140,148 @@ def _store_words(words: DataFrame) -> DataFrame:
     )
 
 
-def _pair_changes(base: DataFrame, pending: list, fresh: list) -> DataFrame:
-    """Count changes of one round: old pairs of every rewritten word out, new pairs in.
+def _heavy_pairs(ranked: list[tuple[str, int]], limit: int, min_frequency: int) -> tuple[list[str], int]:
+    """Of ranked pairs those that count more than the one after the first ``limit``, and the floor.
 
-    ``pending`` merges are not in ``base`` yet. The one-item ``transform`` names their
-    result, so it is computed once per word.
+    Without ties at the limit these are ``limit`` pairs; none if all of them tie.
     """
-    step = F.transform(
-        F.array(apply_merges(F.col("sym"), pending)),
-        lambda s: F.struct(s.alias("old"), apply_merges(s, fresh).alias("new")),
-    )
-    rewritten = base.select(F.explode(step).alias("w"), "n").filter("w.old != w.new")
-    n = F.col("n")
-    signed = F.concat(
-        F.transform(adjacent_pairs(F.col("w.old")), lambda p: F.struct(p.alias("pair"), (-n).alias("n"))),
-        F.coalesce(
-            F.transform(adjacent_pairs(F.col("w.new")), lambda p: F.struct(p.alias("pair"), n.alias("n"))),
-            F.array().cast("array<struct<pair:string,n:bigint>>"),
-        ),
-    )
-    return rewritten.select(F.explode(signed).alias("c")).select("c.*")
+    if len(ranked) <= limit:
+        return [pair for pair, _ in ranked], min_frequency
+    floor = ranked[limit][1] + 1
+    return [pair for pair, n in ranked[:limit] if n >= floor], floor
+
+
+def _pieces_of(words: pa.Array, heavy: np.ndarray) -> tuple[str, list[tuple[int, int]]]:
+    """Words end to end, and the runs of symbols whose neighbouring pairs are all heavy."""
+    line = _WORD_END.join(words.to_pylist())
+    codes = np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64)
+    pairs = (codes[:-1] << np.uint64(32)) | codes[1:]
+    at = np.searchsorted(heavy, pairs)
+    at[at == len(heavy)] = 0
+    inside = np.concatenate([[False], heavy[at] == pairs, [False]])
+    starts = np.flatnonzero(~inside[:-1] & inside[1:])
+    ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+    return line, list(zip(starts.tolist(), ends.tolist()))
+
+
+def _pair_codes(heavy: list[str]) -> np.ndarray:
+    return np.sort(np.array([ord(p[0]) << 32 | ord(p[1]) for p in heavy], np.uint64))
+
+
+def _cut(heavy: list[str]):
+    codes = _pair_codes(heavy)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            line, runs = _pieces_of(batch.column(0), codes)
+            word_ends = np.cumsum([len(w) + 1 for w in batch.column(0).to_pylist()])
+            owner = np.searchsorted(word_ends, [a for a, _ in runs], "right")
+            counts = batch.column(1).to_numpy()[owner].tolist()
+            total: dict[str, int] = defaultdict(int)
+            for (a, b), n in zip(runs, counts):
+                total[line[a:b]] += n
+            yield pa.record_batch(
+                [pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["piece", "n"]
+            )
 
+    return cut
 
-def learn_vocabulary(
-    histogram: DataFrame,
-    vocab_size: int = 10_000,
-    min_frequency: int = 2,
-    keep_words_rounds: int = 8,
-) -> Vocabulary:
+
+def _rewrite(heavy: list[str], merged: dict[str, str]):
+    codes = _pair_codes(heavy)
+
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            line, runs = _pieces_of(batch.column(0), codes)
+            parts, done = [], 0
+            for a, b in runs:
+                parts += line[done:a], merged[line[a:b]]
+                done = b
+            parts.append(line[done:])
+            words = "".join(parts).split(_WORD_END)
+            yield pa.record_batch([pa.array(words, pa.string()), batch.column(1)], ["sym", "n"])
+
+    return rewrite
+
+
+class _Tokens:
+    """Tokens and merges found so far."""
+
+    def __init__(self):
+        self.by_id = list(Vocabulary().tokens)
+        self.known = {t: i for i, t in enumerate(self.by_id)}
+        self.symbols = {symbol(i): i for i in range(len(self.by_id))}
+        self.merges: list[tuple[int, int, int]] = []
+
+    def joined(self, pair: str) -> bytes:
+        return self.by_id[self.symbols[pair[0]]] + self.by_id[self.symbols[pair[1]]]
+
+    def add(self, pair: str) -> str:
+        """Take a pair as the next merge; a token spelled like an older one keeps its id."""
+        token = self.joined(pair)
+        if token not in self.known:
+            self.known[token] = len(self.by_id)
+            self.symbols[symbol(len(self.by_id))] = len(self.by_id)
+            self.by_id.append(token)
+        new = self.known[token]
+        self.merges.append((self.symbols[pair[0]], self.symbols[pair[1]], new))
+        return symbol(new)
+
+
+def _merge_pieces(
+    pieces: list[str], counts: list[int], floor: int, vocab_size: int, tokens: _Tokens
+) -> list[str]:
+    """Merge the best pair of the pieces until it counts less than ``floor``; the pieces after.
+
+    A merge whose token exists already may add to pairs that lie beyond the cuts, so it is only
+    taken as the first of a round, and ends it.
+    """
+    pieces = list(pieces)
+    total: dict[str, int] = defaultdict(int)
+    holders: dict[str, set[int]] = defaultdict(set)
+    for i, (piece, n) in enumerate(zip(pieces, counts)):
+        for pair in map("".join, zip(piece, piece[1:])):
+            total[pair] += n
+            holders[pair].add(i)
+    # symbols sort like ids, so ties go to the smallest ids
+    heap = [(-n, pair) for pair, n in total.items() if n >= floor]
+    heapq.heapify(heap)
+    first = True
+    while heap and len(tokens.by_id) < vocab_size:
+        n, pair = heapq.heappop(heap)
+        if total[pair] != -n:
+            continue
+        again = tokens.joined(pair) in tokens.known
+        if again and not first:
+            break
+        new = tokens.add(pair)
+        changed = set()
+        for i in holders.pop(pair):
+            old = pieces[i]
+            pieces[i] = old.replace(pair, new)
+            if pieces[i] == old:
+                continue
+            for p in map("".join, zip(old, old[1:])):
+                total[p] -= counts[i]
+                changed.add(p)
+            for p in map("".join, zip(pieces[i], pieces[i][1:])):
+                total[p] += counts[i]
+                holders[p].add(i)
+                changed.add(p)
+        for p in changed:
+            if total[p] >= floor:
+                heapq.heappush(heap, (-total[p], p))
+        if again:
+            break
+        first = False
+    return pieces
+
+
+def learn_vocabulary(histogram: DataFrame, vocab_size: int = 10_000, min_frequency: int = 2) -> Vocabulary:
     """Greedy byte-pair merges from a word histogram.
 
     The best pair has the highest count, ties go to the smallest ids. Learning ends at
@@ -205,58 +294,39 @@ def learn_vocabulary(
     if min_frequency <= 0:
         raise ValueError("min_frequency must be positive")
 
-    base = _store_words(
-        histogram.select(plain_byte_symbols(F.col("word")).alias("sym"), "n")
-    )
-    pairs = materialize(
-        _pair_rows(base).groupBy("pair").agg(F.sum("n").alias("n")), "bpe-pairs"
-    )
-    vocabulary = Vocabulary()
-    merges: list[tuple[int, int, int]] = []
-    known = {t: i for i, t in enumerate(vocabulary.tokens) if i >= len(SPECIAL_TOKENS)}
-    known.update({t.encode(): i for i, t in enumerate(SPECIAL_TOKENS)})
-    by_id = list(vocabulary.tokens)
-    pending: list[tuple[int, int, int]] = []
-    rounds = 0
-    while len(by_id) < vocab_size:
-        top = (
-            pairs.filter(F.col("n") >= min_frequency)
-            .orderBy(F.desc("n"), "pair")
-            .limit(CANDIDATES)
-            .select(
-                symbol_id(F.substring("pair", 1, 1)), symbol_id(F.substring("pair", 2, 1)), "n"
-            )
-            .collect()
-        )
-        ranked = [tuple(r) for r in top]
-        accepted = _accept(
-            ranked, len(ranked) == CANDIDATES, vocab_size - len(by_id), min_frequency
-        )
-        if not accepted:
+    words = _store_words(histogram.select(plain_byte_symbols(F.col("word")).alias("sym"), "n"))
+    tokens, limit = _Tokens(), FIRST_PAIRS
+    while len(tokens.by_id) < vocab_size:
+        pairs = _pair_rows(words).groupBy("pair").agg(F.sum("n").alias("n"))
+        top = pairs.filter(F.col("n") >= min_frequency).orderBy(F.desc("n"), "pair").limit(limit + 1)
+        ranked = [(r["pair"], r["n"]) for r in top.collect()]
+        if not ranked:
             break
-        fresh = []
-        for left, right, _ in accepted:
-            token = by_id[left] + by_id[right]
-            if token not in known:
-                known[token] = len(by_id)
-                by_id.append(token)
-            fresh.append((left, right, known[token]))
-        merges += fresh
-        if len(by_id) >= vocab_size:
+        while True:
+            heavy, floor = _heavy_pairs(ranked, limit, min_frequency)
+            if len(heavy) < 2:
+                break
+            cut = words.mapInArrow(_cut(heavy), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+            cut = materialize(cut, "bpe-pieces")
+            size = cut.agg(F.sum(F.char_length("piece"))).first()[0] or 0
+            if size <= PIECE_CHARS:
+                break
+            limit = max(limit // 2, 1)
+        if len(heavy) < 2:
+            # ties or long pieces leave the best pair alone to be sure of
+            new = tokens.add(ranked[0][0])
+            words = _store_words(words.select(F.replace("sym", F.lit(ranked[0][0]), F.lit(new)).alias("sym"), "n"))
+            limit = min(limit * 2, CANDIDATES)
+            continue
+        found = cut.collect()  # PIECE_CHARS symbols at most
+        pieces = [r["piece"] for r in found]
+        after = _merge_pieces(pieces, [r["n"] for r in found], floor, vocab_size, tokens)
+        if len(tokens.by_id) >= vocab_size:
             break
-        pairs = materialize(
-            pairs.unionByName(_pair_changes(base, pending, fresh))
-            .groupBy("pair")
-            .agg(F.sum("n").alias("n"))
-            .filter(F.col("n") > 0),
-            "bpe-pairs",
-        )
-        pending += fresh
-        rounds += 1
-        if rounds % keep_words_rounds == 0:
-            base = _store_words(base.select(apply_merges(F.col("sym"), pending).alias("sym"), "n"))
-            pending = []
-    return Vocabulary(tuple(merges))
+        words = _store_words(words.mapInArrow(_rewrite(heavy, dict(zip(pieces, after))), "sym string, n long"))
+        if size <= PIECE_CHARS // 4:
+            limit = min(limit * 2, CANDIDATES)
+    return Vocabulary(tuple(tokens.merges))
 
 
 def train_vocabulary(

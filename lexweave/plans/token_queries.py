@@ -16,6 +16,7 @@ from .views import byte_lengths, documents, story_stream
 
 QUERIES, ORACLES = {}, {}
 VOCAB_SIZE = 320
+FULL_SIZE = 10_000
 BLOCK = 128
 _learned: dict[tuple[str, str], Vocabulary] = {}
 
@@ -46,6 +47,12 @@ def bpe_merges(spark, sf):
     return learned_vocabulary(spark, sf).merge_table(spark)
 
 
+@query("bpe_merges_full")
+def bpe_merges_full(spark, sf):
+    """A vocabulary of the usual size; tests compare its merges with another implementation."""
+    return train_vocabulary(documents(spark, sf), FULL_SIZE, 2).merge_table(spark)
+
+
 @query(
     "encode_corpus",
     f"""with {LEARNED}, src as (select doc_id as key, text from documents), {M.encoded('src', 'coded')}

@@ -54,6 +54,23 @@ def test_merges_match_library(learned, corpus_texts):
     assert list(learned.merges) == merges_of(library(corpus_texts, 300, 1))
 
 
+@pytest.mark.parametrize("pairs,chars", [(1, 4), (2, 200), (5, 4_000), (64, 1 << 20)])
+def test_rounds_of_any_size_learn_the_same(docs_of, corpus_texts, monkeypatch, pairs, chars):
+    monkeypatch.setattr(V, "FIRST_PAIRS", pairs)
+    monkeypatch.setattr(V, "CANDIDATES", pairs * 4)
+    monkeypatch.setattr(V, "PIECE_CHARS", chars)
+    got = V.train_vocabulary(docs_of(corpus_texts), 290, 1, by_line=False)
+    assert list(got.merges) == merges_of(library(corpus_texts, 290, 1))
+
+
+def test_a_real_vocabulary_matches_library(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [r.text for r in docs.select("text").collect()]
+    got = V.train_vocabulary(docs, 10_000, 2, by_line=False)
+    assert list(got.merges) == merges_of(library(texts, 10_000, 2))
+    assert len(got.merges) > 5_000
+
+
 def test_minimum_frequency_ends_learning(docs_of):
     texts = ["abab abab cd", "xyxy"]
     got = V.train_vocabulary(docs_of(texts), 1000, 3, by_line=False)
@@ -80,6 +97,18 @@ def test_encoding_matches_library(docs_of, learned, corpus_texts):
     assert [local(t) for t in texts] == [got[i] for i in range(len(texts))]
 
 
+def test_null_text_and_long_words(docs_of, learned, monkeypatch):
+    monkeypatch.setattr(encoding, "SEEN_WORDS", 2)
+    df = docs_of([None, "", "the " * 3000 + "a" * 5000, "the"])
+    got = {r.doc_id: r.ids for r in encoding.encode_corpus(df, learned).collect()}
+    assert got[0] is None and got[1] == []
+    back = encoding.encode_corpus(df, learned).select("doc_id", encoding.decode_ids(F.col("ids"), learned).alias("t"))
+    assert {r.doc_id: r.t for r in back.collect()}[2] == "the " * 3000 + "a" * 5000
+    count = encoding.token_count_udf(learned)
+    sizes = {r.doc_id: r.n for r in df.select("doc_id", count("text").alias("n")).collect()}
+    assert sizes == {i: None if x is None else len(x) for i, x in got.items()}
+
+
 def test_decode_round_trip(docs_of, learned):
     df = docs_of(["abc cab élan <eos>", "新しい café"])
     coded = materialize(encoding.encode_corpus(df, learned), "coded")
