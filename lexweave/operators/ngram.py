@@ -1,14 +1,50 @@
 """Count-based language model: estimation, corpus scoring and candidate scoring.
 
-Contexts are bounded by powers of the vocabulary, and every step aggregates before it
-joins, so a frequent context is one row by the time it moves.
+Contexts are bounded by powers of the vocabulary. An n-gram is one number (``gram_key``),
+and a fitted model keeps one table from such numbers to log-probabilities, so scoring is one
+lookup of the distinct n-grams and one that hands the results back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
+from .skew import lookup
+
+#: Bits of a token in an n-gram's number; zero stands for no token.
+TOKEN_BITS = 21
+_TOKEN = (1 << TOKEN_BITS) - 1
+
+
+def gram_key(c2: Column, c1: Column, token: Column) -> Column:
+    """Three tokens in one long; a missing context, or no token, leaves its place empty.
+
+    Without a token the number stands for the context, with whatever was never seen after it.
+    """
+    def place(tokens: Column, at: int) -> Column:
+        return F.shiftleft(F.coalesce(tokens + 1, F.lit(0)).cast("long"), at * TOKEN_BITS)
+
+    return place(c2, 2).bitwiseOR(place(c1, 1)).bitwiseOR(place(token, 0))
+
+
+def _backed_off(key: Column) -> Column:
+    """What to look for, best first: rank and number of the n-gram and context of each order."""
+    third, second = key.bitwiseAND(_TOKEN << 2 * TOKEN_BITS), key.bitwiseAND(_TOKEN << TOKEN_BITS)
+    token = key.bitwiseAND(_TOKEN)
+    nothing = F.lit(None).cast("long")
+
+    def ask(rank: int, number: Column, known: Column | None = None) -> Column:
+        return F.struct(F.lit(rank).alias("rank"), (number if known is None else F.when(known, number).otherwise(nothing)).alias("probe"))
+
+    two, one = third != 0, second != 0
+    context = third.bitwiseOR(second)
+    return F.array(
+        ask(0, key, two), ask(1, context, two),
+        ask(2, second.bitwiseOR(token), one), ask(3, second, one), ask(4, token),
+    )
 
 
 def _grams(context: Column, ids: Column) -> Column:
@@ -100,23 +136,44 @@ class NgramModel:
             (F.coalesce(n, F.lit(0)) + self.k) / (context_n + self.k * self.vocab_size)
         )
 
-    def score(self, grams: DataFrame) -> DataFrame:
-        """Add ``logp, ord`` to rows with ``c2, c1, token``; pass folded counts, not raw tokens."""
-        scored = (
-            grams.join(self.tri, ["c2", "c1", "token"], "left")
-            .join(self._context3(), ["c2", "c1"], "left")
-            .join(self.bi, ["c1", "token"], "left")
-            .join(self._context2(), ["c1"], "left")
-            .join(self.uni, ["token"], "left")
+    @cached_property
+    def probabilities(self) -> DataFrame:
+        """``probe, logp``: every counted n-gram, and every context for what it never saw."""
+        none = F.lit(None).cast("int")
+
+        def order(counts: DataFrame, n: str, c2: Column, c1: Column, *context: str) -> DataFrame:
+            m = F.sum(n).over(Window.partitionBy(*context)) if context else self.total
+            rows = counts.withColumn("m", m)  # a context has a row per vocabulary token at most
+            seen = rows.select(gram_key(c2, c1, F.col("token")).alias("probe"), self._smooth(F.col(n), F.col("m")).alias("logp"))
+            if not context:
+                return seen
+            after = rows.groupBy(*context).agg(F.first("m").alias("m"))
+            return seen.unionByName(after.select(gram_key(c2, c1, none).alias("probe"), self._smooth(F.lit(0), F.col("m")).alias("logp")))
+
+        return materialize(
+            order(self.tri, "n3", F.col("c2"), F.col("c1"), "c2", "c1")
+            .unionByName(order(self.bi, "n2", none, F.col("c1"), "c1"))
+            .unionByName(order(self.uni, "n1", none, none)),
+            "ngram-probabilities",
         )
-        three, two = F.col("m3").isNotNull(), F.col("m2").isNotNull()
-        logp = (
-            F.when(three, self._smooth(F.col("n3"), F.col("m3")))
-            .when(two, self._smooth(F.col("n2"), F.col("m2")))
-            .otherwise(self._smooth(F.col("n1"), self.total))
+
+    def score(self, grams: DataFrame) -> DataFrame:
+        """Add ``logp, ord`` to rows with ``c2, c1, token``; fold equal rows first where that is many.
+
+        Distinct n-grams ask for all their orders at once and keep the best answer. Frequent
+        n-grams and contexts are looked up apart (``lookup``), so none floods a task.
+        """
+        rows = materialize(grams.withColumn("__gram", gram_key(F.col("c2"), F.col("c1"), F.col("token"))), "grams")
+        distinct = rows.select("__gram").distinct()
+        asked = distinct.select("__gram", F.explode(_backed_off(F.col("__gram"))).alias("ask"))
+        asked = materialize(asked.select("__gram", "ask.rank", "ask.probe").filter("probe IS NOT NULL"), "gram-probes")
+        answers = lookup(asked, self.probabilities, "probe").groupBy("__gram").agg(
+            F.min_by("logp", "rank").alias("logp"), F.min("rank").alias("__rank")
         )
-        order = F.when(three, 3).when(two, 2).otherwise(1)
-        return scored.select(*grams.columns, logp.alias("logp"), order.alias("ord"))
+        never = self._smooth(F.lit(0), self.total)  # a token that training lacks, after nothing known
+        order = 3 - F.floor(F.coalesce("__rank", F.lit(4)) / 2)
+        scored = lookup(rows, answers, "__gram", "left")
+        return scored.select(*grams.columns, F.coalesce("logp", never).alias("logp"), order.cast("int").alias("ord"))
 
 
 def continuation_rows(items: DataFrame, *keys: str) -> DataFrame:
@@ -136,16 +193,8 @@ def continuation_rows(items: DataFrame, *keys: str) -> DataFrame:
 def score_continuations(items: DataFrame, model: NgramModel, *keys: str) -> DataFrame:
     """``keys, score, positions``: log-probability sum per candidate.
 
-    Distinct n-grams are scored once; a prompt ending shared by many items costs one row.
+    Distinct n-grams are scored once, and endings that many prompts share are handed back by
+    broadcast.
     """
-    rows = continuation_rows(items, *keys)
-    # a null context still has to match itself when the scores come back
-    key = F.struct(F.coalesce("c2", F.lit(-1)).alias("a"), F.coalesce("c1", F.lit(-1)).alias("b"), F.col("token").alias("t"))
-    rows = rows.withColumn("gram", key)
-    distinct = rows.select("gram", "c2", "c1", "token").distinct()
-    scores = model.score(distinct).select("gram", "logp")
-    return (
-        rows.join(scores, "gram")
-        .groupBy(*keys)
-        .agg(F.sum("logp").alias("score"), F.count("*").alias("positions"))
-    )
+    scored = model.score(continuation_rows(items, *keys))
+    return scored.groupBy(*keys).agg(F.sum("logp").alias("score"), F.count("*").alias("positions"))

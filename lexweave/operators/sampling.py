@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import uniform_draw
+from ..functions.tokens import take_last
 from ..session import materialize
+from .skew import lookup
 
 
 def top_k_distribution(
@@ -61,50 +68,110 @@ def sample_plan(
     )
 
 
+def context_key(tokens: Column) -> Column:
+    """Name of a context in a candidate table; the empty context is the empty string."""
+    return F.array_join(tokens, ",")
+
+
 def batch_generate(
     prompts: DataFrame,
-    candidates: DataFrame,
-    fallback: DataFrame,
+    contexts: DataFrame,
     *,
+    longest: int,
     max_new_tokens: int,
     eos_id: int,
     key: str = "sample_index",
-    keep_steps: int = 8,
 ) -> DataFrame:
-    """``key, new_ids``: sampled continuations of all prompts, one token per step.
+    """``key, new_ids``: sampled continuations of all prompts, one token a step.
 
-    ``prompts`` has ``key, seed, last`` (last prompt token); ``candidates`` one row per
-    context token, ``fallback`` one row for unseen contexts. A row that draws the end
-    token keeps it. Every ``keep_steps`` steps the state goes to a table in shared storage
-    and the finished rows leave the active set.
+    ``prompts`` has ``key, seed, prompt_ids``; ``contexts`` one row ``context, candidates`` per
+    known run of up to ``longest`` tokens (``context_key``), the empty one included. Each step
+    takes the candidates of the longest known run that ends the text so far. A row that draws
+    the end token keeps it and leaves; a step's state is a table in shared storage, and contexts
+    that many rows have reached are looked up by broadcast.
     """
-    default = fallback.select("candidates").scalar()
-    table = materialize(candidates.select(F.col(candidates.columns[0]).alias("last"), "candidates"), "candidates")
+    table = materialize(contexts.select("context", "candidates"), "contexts")
     state = prompts.select(
-        key, "seed", "last", F.array().cast("array<int>").alias("new_ids"), F.lit(False).alias("done")
+        key, "seed", take_last(F.col("prompt_ids"), longest).alias("tail"), F.array().cast("array<int>").alias("new_ids")
     )
-    finished = state.filter(F.lit(False))
+    finished = None
     for step in range(max_new_tokens):
+        stored = materialize(state, "generation")
+        # the empty context is known, so a row draws a token each step
+        ended = (F.size("new_ids") > 0) & (F.try_element_at("new_ids", F.lit(-1)) == eos_id)
+        done = stored.filter(ended).select(key, "new_ids")
+        finished = done if finished is None else finished.unionByName(done)
+        active = stored.filter(~ended)
+        if active.isEmpty():
+            return finished
+        sizes = F.sequence(F.lit(0), F.size("tail"))
+        asked = active.withColumn("size", F.explode(sizes)).withColumn(
+            "context", context_key(F.slice("tail", F.size("tail") - F.col("size") + 1, F.col("size")))
+        )
         draw = uniform_draw(F.col("seed").cast("string"), F.lit(str(step)))
-        token = pick(F.col("candidates"), draw)
-        state = (
-            state.join(table, "last", "left")
-            .withColumn("candidates", F.coalesce("candidates", default))
-            .withColumn("token", F.when(~F.col("done"), token))
-            .select(
-                key,
-                "seed",
-                F.coalesce("token", "last").alias("last"),
-                F.when(F.col("done"), F.col("new_ids"))
-                .otherwise(F.concat("new_ids", F.array("token")))
-                .alias("new_ids"),
-                (F.col("done") | (F.col("token") == eos_id)).alias("done"),
-            )
+        drawn = lookup(asked, table, "context").withColumn("token", pick(F.col("candidates"), draw))
+        best = drawn.groupBy(key).agg(F.max_by(F.struct("seed", "tail", "new_ids", "token"), "size").alias("s"))
+        token = F.array("s.token")
+        state = best.select(
+            key, F.col("s.seed").alias("seed"), take_last(F.concat("s.tail", token), longest).alias("tail"),
+            F.concat("s.new_ids", token).alias("new_ids"),
         )
-        if (step + 1) % keep_steps == 0 and step + 1 < max_new_tokens:
-            stored = materialize(state, "generation")
-            finished = finished.unionByName(stored.filter("done"))
-            state = stored.filter(~F.col("done"))
-            if state.isEmpty():
-                break
-    return finished.unionByName(state).select(key, "new_ids")
+    last = state.select(key, "new_ids")
+    return last if finished is None else finished.unionByName(last)
+
+
+def _draw(seed: int, step: int) -> float:
+    return int(hashlib.md5(f"{seed}:{step}".encode()).hexdigest()[:8], 16) / 4294967296.0
+
+
+def draw_tokens(logits: np.ndarray, draws: np.ndarray, temperature: float, top_k: int | None) -> np.ndarray:
+    """One token per row of logits: top-k with ties kept, softmax, the draw's place in it."""
+    z = logits / temperature
+    k = logits.shape[1] if top_k is None else min(top_k, logits.shape[1])
+    least = np.partition(z, -k, axis=1)[:, -k][:, None]
+    weights = np.where(z >= least, np.exp(z - z.max(axis=1, keepdims=True)), 0.0)
+    running = np.cumsum(weights / weights.sum(axis=1, keepdims=True), axis=1)
+    hit = (running >= draws[:, None]) & (weights > 0)
+    last = logits.shape[1] - 1 - np.argmax(weights[:, ::-1] > 0, axis=1)
+    return np.where(hit.any(axis=1), hit.argmax(axis=1), last)
+
+
+def generate_with_scorer(
+    prompts: DataFrame,
+    make_scorer: Callable[[], Callable[[list[np.ndarray]], np.ndarray]],
+    *,
+    block_size: int,
+    temperature: float,
+    top_k: int | None,
+    max_new_tokens: int,
+    eos_id: int,
+    key: str = "sample_index",
+) -> DataFrame:
+    """``key, new_ids`` from a scorer that maps contexts to one row of logits each.
+
+    ``make_scorer`` runs once per task. Rows are independent, so a batch steps through all its
+    tokens inside its task; contexts are the last ``block_size`` tokens, and rows that drew the
+    end token leave the batch.
+    """
+    if temperature <= 0:
+        raise ValueError("temperature must be positive")
+
+    def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = make_scorer()
+        for batch in batches:
+            texts = [np.asarray(ids, np.int64) for ids in batch["prompt_ids"]]
+            starts, seeds = [len(t) for t in texts], batch["seed"].tolist()
+            active = list(range(len(texts)))
+            for step in range(max_new_tokens):
+                if not active:
+                    break
+                logits = np.asarray(scorer([texts[i][-block_size:] for i in active]), np.float64)
+                draws = np.array([_draw(seeds[i], step) for i in active])
+                for i, token in zip(active, draw_tokens(logits, draws, temperature, top_k)):
+                    texts[i] = np.append(texts[i], token)
+                active = [i for i in active if texts[i][-1] != eos_id]
+            new = [t[n:].astype(np.int32) for t, n in zip(texts, starts)]
+            yield pd.DataFrame({key: batch[key], "new_ids": new})
+
+    kind = prompts.schema[key].dataType.simpleString()
+    return prompts.select(key, "seed", "prompt_ids").mapInPandas(generate, f"`{key}` {kind}, new_ids ARRAY<INT>")

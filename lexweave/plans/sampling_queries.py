@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..constants import BYTE_VOCAB_SIZE, EOS_ID
 from ..functions.metrics import learning_rate
 from ..functions.text import uniform_draw
-from ..functions.tokens import byte_ids, byte_token_count
+from ..functions.tokens import byte_ids, byte_token_count, take_last
 from ..operators import history as H
 from ..operators import sampling as G
 from ..operators.instruction import fit_prompts, require_fitting
@@ -16,7 +16,7 @@ from ..operators.vocabulary import Vocabulary
 from . import sql as S
 from .choice_queries import corpus_model
 from .instruct_queries import _PLAIN, _with
-from .views import documents, instruction_records, table
+from .views import dealt_documents, documents, instruction_records, table
 
 QUERIES, ORACLES = {}, {}
 TEMPERATURE, TOP_K, SEED, STEPS = 0.8, 40, 42, 12
@@ -99,20 +99,50 @@ def _any_token(spark, sf):
     )
 
 
+_CONTEXTS = f"""tri as (select tok, lag(tok) over w as c1, lag(tok, 2) over w as c2 from tokens window w as (order by pos)),
+lg as (select c2 || ',' || c1 as ctx, tok as token, ln(count(*)) / {TEMPERATURE}::DOUBLE as z from tri where c2 is not null group by 1, 2
+  union all select c1::VARCHAR, tok, ln(count(*)) / {TEMPERATURE}::DOUBLE from tri where c1 is not null group by 1, 2
+  union all select '', tok, ln(count(*)) / {TEMPERATURE}::DOUBLE from tri group by 1, 2),
+kept as (select *, rank() over (partition by ctx order by z desc) as r from lg),
+weighed as (select *, exp(z - max(z) over (partition by ctx)) as w from kept where r <= {TOP_K}),
+shares as (select ctx, token, w / sum(w) over (partition by ctx) as p from weighed),
+sums as (select *, sum(p) over (partition by ctx order by token) as cum from shares),
+spans as (select ctx, token, coalesce(lag(cum) over t, -1.0::DOUBLE) as lo,
+    case when lead(cum) over t is null then 2.0::DOUBLE else cum end as hi from sums window t as (partition by ctx order by token)),
+seen as (select distinct ctx from spans),
+started as (select doc_id, {SEED} + doc_id as seed, ids[len(ids) - 3] as c1,
+    case when len(ids) > 4 then ids[len(ids) - 4] end as c2 from off)"""
+
+
+def _contexts(spark, sf):
+    """Candidates after every known pair of tokens, every token, and nothing."""
+    model = corpus_model(spark, sf)
+    pair = G.context_key(F.array("c2", "c1"))
+    logits = (
+        model.tri.select(pair.alias("context"), "token", F.log("n3").alias("logit"))
+        .unionByName(model.bi.select(F.col("c1").cast("string").alias("context"), "token", F.log("n2").alias("logit")))
+        .unionByName(model.uni.select(F.lit("").alias("context"), "token", F.log("n1").alias("logit")))
+    )
+    return G.candidate_arrays(G.top_k_distribution(logits, "context", TEMPERATURE, TOP_K, BYTE_VOCAB_SIZE), "context")
+
+
 @query(
     "batch_generate",
-    f"""with recursive {S.STREAM.strip()}, {_DIST}, {_DRAWN},
-        gen as (select doc_id, seed, last, 0 as step, '' as ids, false as done from first_
-          union all select doc_id, seed, token, step + 1, ids || case when step > 0 then ',' else '' end || token, token = {EOS_ID}
-          from gen join span on c1 = last and {_draw('step')} > lo and {_draw('step')} <= hi
-          where not done and step < {STEPS})
+    f"""with recursive {S.STREAM.strip()}, {_CONTEXTS},
+        gen as (select doc_id, seed, c2, c1, 0 as step, '' as ids, false as done from started
+          union all select g.doc_id, g.seed, g.c1, s.token, g.step + 1,
+            g.ids || case when g.step > 0 then ',' else '' end || s.token, s.token = {EOS_ID}
+          from gen g left join seen a on a.ctx = g.c2 || ',' || g.c1 left join seen b on b.ctx = g.c1::VARCHAR
+            join spans s on s.ctx = coalesce(a.ctx, b.ctx, '') and {_draw('g.step')} > s.lo and {_draw('g.step')} <= s.hi
+          where not g.done and g.step < {STEPS})
         select doc_id, arg_max(ids, step) as new_ids from gen group by doc_id""",
 )
 def batch_generate(spark, sf):
-    candidates = G.candidate_arrays(next_token_distribution(spark, sf), "c1")
+    prompts = dealt_documents(spark, sf).select(
+        "doc_id", (F.col("doc_id") + SEED).alias("seed"), take_last(byte_ids(F.col("text")), 2).alias("prompt_ids")
+    )
     out = G.batch_generate(
-        _prompts(spark, sf), candidates, _any_token(spark, sf),
-        max_new_tokens=STEPS, eos_id=EOS_ID, key="doc_id",
+        prompts, _contexts(spark, sf), longest=2, max_new_tokens=STEPS, eos_id=EOS_ID, key="doc_id"
     )
     return out.select("doc_id", F.array_join("new_ids", ",").alias("new_ids"))
 

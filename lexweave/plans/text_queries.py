@@ -12,7 +12,7 @@ from ..sources import corpus, records, sinks
 from ..streaming.ingest import read_document_stream, start_story_ingest
 from . import sql as S
 from .merge_sql import WORDS
-from .views import choice_records, documents, instruction_records, pseudo_scores
+from .views import dealt_documents, choice_records, documents, instruction_records, pseudo_scores
 
 QUERIES, ORACLES = {}, {}
 
@@ -335,7 +335,7 @@ _HISTOGRAM = f"hist as (select word, count(*) as n from (select unnest({WORDS})
           md5(array_to_string({WORDS}, '|')) as words_md5 from documents""",
 )
 def pretokenize(spark, sf):
-    found = documents(spark, sf).select("doc_id", T.pretokens(F.col("text")).alias("w"))
+    found = dealt_documents(spark, sf).select("doc_id", T.pretokens(F.col("text")).alias("w"))
     return found.select(
         "doc_id", F.size("w").alias("n_words"), F.md5(F.array_join("w", "|")).alias("words_md5")
     )
@@ -345,7 +345,7 @@ def pretokenize(spark, sf):
 def word_histogram(spark, sf):
     from ..operators.vocabulary import word_histogram as histogram
 
-    return histogram(documents(spark, sf))
+    return histogram(dealt_documents(spark, sf))
 
 
 @query(
@@ -355,7 +355,7 @@ def word_histogram(spark, sf):
         select b as byte, ({S.ID})::INTEGER as token_id, count(*) as n from h group by b""",
 )
 def byte_alphabet(spark, sf):
-    used = documents(spark, sf).select(
+    used = dealt_documents(spark, sf).select(
         F.explode(K.symbol_chars(K.plain_byte_symbols(F.col("text")))).alias("s")
     )
     counts = used.groupBy(K.symbol_id(F.col("s")).alias("token_id")).agg(F.count("*").alias("n"))
@@ -375,7 +375,7 @@ def pair_counts(spark, sf):
     from ..operators.vocabulary import pair_counts as pairs
     from ..operators.vocabulary import word_histogram as histogram
 
-    return pairs(histogram(documents(spark, sf)))
+    return pairs(histogram(dealt_documents(spark, sf)))
 
 
 @query(

@@ -12,7 +12,7 @@ from ..operators.vocabulary import Vocabulary, required_special_tokens, train_vo
 from ..session import fresh_path
 from . import merge_sql as M
 from . import sql as S
-from .views import byte_lengths, documents, story_stream
+from .views import byte_lengths, dealt_documents, documents, story_stream
 
 QUERIES, ORACLES = {}, {}
 VOCAB_SIZE = 320
@@ -35,7 +35,7 @@ def learned_vocabulary(spark, sf) -> Vocabulary:
     """Vocabulary of the corpus, learned once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _learned:
-        _learned[key] = train_vocabulary(documents(spark, sf), VOCAB_SIZE, 2)
+        _learned[key] = train_vocabulary(dealt_documents(spark, sf), VOCAB_SIZE, 2)
     return _learned[key]
 
 
@@ -50,7 +50,7 @@ def bpe_merges(spark, sf):
 @query("bpe_merges_full")
 def bpe_merges_full(spark, sf):
     """A vocabulary of the usual size; tests compare its merges with another implementation."""
-    return train_vocabulary(documents(spark, sf), FULL_SIZE, 2).merge_table(spark)
+    return train_vocabulary(dealt_documents(spark, sf), FULL_SIZE, 2).merge_table(spark)
 
 
 @query(
@@ -60,7 +60,7 @@ def bpe_merges_full(spark, sf):
           array_to_string({M.symbol_ids('s')}, ',') as ids from coded""",
 )
 def encode_learned(spark, sf):
-    encoded = encode_corpus(documents(spark, sf), learned_vocabulary(spark, sf))
+    encoded = encode_corpus(dealt_documents(spark, sf), learned_vocabulary(spark, sf))
     return encoded.select("doc_id", F.size("ids").alias("n_tokens"), F.array_join("ids", ",").alias("ids"))
 
 
@@ -70,20 +70,20 @@ def encode_learned(spark, sf):
           array_to_string({S.ids('text')}, ',') as ids from documents""",
 )
 def encode_bytes(spark, sf):
-    encoded = encode_corpus(documents(spark, sf), Vocabulary())
+    encoded = encode_corpus(dealt_documents(spark, sf), Vocabulary())
     return encoded.select("doc_id", F.size("ids").alias("n_tokens"), F.array_join("ids", ",").alias("ids"))
 
 
 @query("decode_corpus", "select doc_id, text from documents")
 def decode_corpus(spark, sf):
     vocabulary = learned_vocabulary(spark, sf)
-    encoded = encode_corpus(documents(spark, sf), vocabulary)
+    encoded = encode_corpus(dealt_documents(spark, sf), vocabulary)
     return encoded.select("doc_id", decode_ids(F.col("ids"), vocabulary).alias("text"))
 
 
 @query("decode_bytes", "select doc_id, text || chr(10) || chr(10) as text from documents")
 def decode_bytes(spark, sf):
-    stories = D.story_tokens(documents(spark, sf), Vocabulary())
+    stories = D.story_tokens(dealt_documents(spark, sf), Vocabulary())
     return stories.select("doc_id", decode_ids(F.col("ids"), Vocabulary(), skip_special=True).alias("text"))
 
 

@@ -20,6 +20,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, f"{sf_dir}/documents.parquet")
 
 
+def dealt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents dealt to as many tasks as a shuffle has, for queries with heavy work a row."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_documents(spark, f"{sf_dir}/documents.parquet", partitions=parts)
+
+
 def instruction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the turn before as input and the assistant's answer as output."""
     turns = Window.partitionBy("conv_id").orderBy("turn")
@@ -44,7 +50,7 @@ def choice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One question per document: its text, its last words as choices, by language group."""
     found = F.split(F.regexp_replace("text", r"[ \n]+", " "), " ")
     n = F.size("ws")
-    return documents(spark, sf_dir).select("doc_id", "text", "lang", found.alias("ws")).select(
+    return dealt_documents(spark, sf_dir).select("doc_id", "text", "lang", found.alias("ws")).select(
         F.col("doc_id").alias("idx"),
         F.col("text").alias("question"),
         F.concat("lang", F.lit("_grp_"), (F.col("doc_id") % 3).cast("string")).alias("subject"),
@@ -74,7 +80,7 @@ def story_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _streams:
-        stream = token_offsets(story_tokens(documents(spark, sf_dir), Vocabulary()))
+        stream = token_offsets(story_tokens(dealt_documents(spark, sf_dir), Vocabulary()))
         _streams[key] = materialize(stream, "story-stream")
     return _streams[key]
 

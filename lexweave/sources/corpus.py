@@ -14,8 +14,14 @@ class EmptyCorpusError(ValueError):
     pass
 
 
-def read_documents(spark: SparkSession, path: str, schema: str = DOCUMENT_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def read_documents(
+    spark: SparkSession, path: str, schema: str = DOCUMENT_SCHEMA, partitions: int | None = None
+) -> DataFrame:
+    """The documents table. ``partitions`` deals its rows out evenly by id, for work that costs
+    far more a row than moving it; without it tasks follow the files.
+    """
+    rows = spark.read.schema(schema).parquet(path)
+    return rows if partitions is None else rows.repartition(partitions, "doc_id")
 
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -114,6 +115,31 @@ def test_ngram_model_matches_brute_force(spark):
     assert {r.ord: r.n for r in total.collect()} == {3: 5, 2: 7, 1: 10}
 
 
+def test_scores_of_many_equal_endings(spark, monkeypatch):
+    from lexweave.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_KEYS", 1)
+    rng = random.Random(4)
+    train = [[rng.randrange(9) for _ in range(40)] for _ in range(30)]
+    model = NgramModel.fit(ngram_rows(stream(spark, *train)), 12)
+    items = [(i, [5, 6, 7] if i % 10 else [rng.randrange(12) for _ in range(3)], [rng.randrange(12) for _ in range(3)]) for i in range(300)]
+    df = spark.createDataFrame(items, "idx INT, prompt_ids ARRAY<INT>, candidate_ids ARRAY<INT>")
+    got = {r.idx: r.score for r in score_continuations(df, model, "idx").collect()}
+    for i, prompt, candidate in items:
+        s = prompt[-2:] + candidate
+        assert got[i] == pytest.approx(sum(brute_logp(train, *s[k : k + 3], 12) for k in range(3)))
+
+
+def test_ngram_keys_tell_all_parts_apart(spark):
+    from lexweave.operators.ngram import gram_key
+
+    top = (1 << 21) - 2
+    parts = [(a, b, t) for a in (None, 0, 1, top) for b in (None, 0, 1, top) for t in (None, 0, 1, top)]
+    df = spark.createDataFrame(parts, "c2 INT, c1 INT, token INT")
+    keys = [r.k for r in df.select(gram_key(F.col("c2"), F.col("c1"), F.col("token")).alias("k")).collect()]
+    assert len(set(keys)) == len(parts) and min(keys) >= 0
+
+
 def test_ngram_rows_follow_their_context(spark):
     rows = ngram_rows(stream(spark, [7, 8, 9]), context=F.array(F.lit(2), F.lit(202))).orderBy("pos").collect()
     assert [(r.c2, r.c1, r.token) for r in rows] == [(2, 202, 7), (202, 7, 8), (7, 8, 9)]
