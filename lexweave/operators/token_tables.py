@@ -14,11 +14,16 @@ from ..functions.text import (
     uniform_draw,
 )
 from ..functions.tokens import byte_ids, byte_token_count
+from ..session import materialize
 from ..sources import sinks
 from .encoding import encode_corpus
 from .ordering import ID_SHIFTS, running_before
 from .vocabulary import Vocabulary
 
+#: Deltas that a token cache takes before it is written whole.
+MAX_DELTAS = 8
+EMPTY_CACHE = "the corpus has no story to encode"
+
 
 def story_tokens(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id") -> DataFrame:
     """``key, ids, n_tokens`` of the exported form of every non-empty story."""
@@ -284,6 +289,12 @@ def content_hash(key: str = "doc_id", text: str = "text") -> Column:
     return F.md5(F.concat_ws("\x1f", F.col(key).cast("string"), F.col(text)))
 
 
+def source_hash(key: str = "doc_id") -> Column:
+    """Sum of the rows' content hashes, so order does not matter and a repeated row does."""
+    total = F.sum(hex_to_long(content_hash(key), 15).cast("decimal(38,0)"))
+    return F.pmod(total, F.lit(1 << 60).cast("decimal(38,0)")).cast("bigint")
+
+
 def cache_manifest(
     docs: DataFrame, tokens: DataFrame, vocabulary: Vocabulary, key: str = "doc_id"
 ) -> DataFrame:
@@ -291,7 +302,7 @@ def cache_manifest(
     source = docs.agg(
         F.count("*").alias("source_rows"),
         F.sum(F.octet_length("text")).cast("bigint").alias("source_bytes"),
-        F.bit_xor(hex_to_long(content_hash(key), 15)).alias("source_hash"),
+        source_hash(key).alias("source_hash"),
     )
     count = tokens.agg(F.sum("n_tokens").cast("bigint")).scalar()
     return source.select(
@@ -321,41 +332,85 @@ def stale_rows(docs: DataFrame, cached: DataFrame, key: str = "doc_id") -> DataF
 
 
 def write_token_cache(
-    docs: DataFrame, vocabulary: Vocabulary, base: str, key: str = "doc_id"
+    docs: DataFrame, vocabulary: Vocabulary, base: str, key: str = "doc_id", max_deltas: int = MAX_DELTAS
 ) -> tuple[DataFrame, bool]:
-    """Reuse the published token table while its manifest matches, else rebuild it.
+    """Reuse the published token table while its manifest matches, else bring it up to date.
 
-    Returns the table (``key, content, ids, n_tokens``) and whether it was reused. A
-    rebuild encodes only rows that are new or changed since the last version made with
-    the same vocabulary.
+    Returns the table (``key, content, ids, n_tokens``) and whether it was reused. A version made
+    with the same vocabulary gets a delta: the rows that are new or changed, encoded, and one
+    tombstone for each pair of key and content that went. So adding a row writes a row. Readers
+    merge base and deltas; after ``max_deltas`` of them, and for another vocabulary, the table is
+    written whole. Rows repeated in the corpus are repeated in the table.
     """
     spark = docs.sparkSession
     last = sinks.current_version(spark, base)
     wanted = _source_key(docs, vocabulary, key)
-    if last is not None:
-        held = spark.read.parquet(last["path"])
-        meta = _read_meta(spark, last["path"])
-        if meta == wanted:
-            return held, True
-        if meta is not None and meta["vocab_sha256"] == wanted["vocab_sha256"]:
-            changed = stale_rows(docs, held, key)
-            alive = docs.select(key, content_hash(key).alias("content"))
-            kept = held.join(alive, [key, "content"], "left_semi")
-            return _store_cache(kept.unionByName(_encoded(changed, vocabulary, key)), wanted, base), False
-    return _store_cache(_encoded(docs, vocabulary, key), wanted, base), False
-
-
-def _encoded(docs: DataFrame, vocabulary: Vocabulary, key: str) -> DataFrame:
-    content = docs.select(key, content_hash(key).alias("content"))
-    return content.join(story_tokens(docs, vocabulary, key), key).select(
-        key, "content", "ids", "n_tokens"
+    if last is None:
+        return _store_cache(_encoded(docs, vocabulary, key), wanted, base, []), False
+    meta = _read_meta(spark, last["path"])
+    parts = meta.pop("parts") if meta else []
+    if meta == wanted:
+        return read_token_cache(spark, parts, key), True
+    if not meta or any(meta[c] != wanted[c] for c in ("version", "vocab_sha256", "vocab_size")):
+        return _store_cache(_encoded(docs, vocabulary, key), wanted, base, []), False
+    _require_story(docs)
+    held = read_token_cache(spark, parts, key)
+    delta = _delta(docs, held, vocabulary, key)
+    if len(parts) <= max_deltas:
+        return _store_cache(delta, wanted, base, parts), False
+    pair = [key, "content"]
+    whole = held.join(delta.filter("gone").select(*pair), pair, "left_anti").withColumn("gone", F.lit(False))
+    return _store_cache(whole.unionByName(delta.filter("NOT gone")), wanted, base, []), False
+
+
+def read_token_cache(spark: SparkSession, parts: list[str], key: str = "doc_id") -> DataFrame:
+    """Live rows of a base folder and its deltas: those without a tombstone in a later part."""
+    if len(parts) == 1:
+        return spark.read.parquet(parts[0]).drop("gone")
+    rows = None
+    for at, path in enumerate(parts):
+        part = spark.read.parquet(path).withColumn("__at", F.lit(at))
+        rows = part if rows is None else rows.unionByName(part)
+    ends = rows.filter("gone").select(F.col(key).alias("__key"), F.col("content").alias("__content"), F.col("__at").alias("__end"))
+    ended = (F.col(key) == F.col("__key")) & (F.col("content") == F.col("__content")) & (F.col("__end") > F.col("__at"))
+    return rows.filter("NOT gone").join(ends, ended, "left_anti").drop("gone", "__at")
+
+
+def _delta(docs: DataFrame, held: DataFrame, vocabulary: Vocabulary, key: str) -> DataFrame:
+    """Rows to add and tombstones: pairs of key and content that do not occur as often as before."""
+    pair = [key, "content"]
+    current = docs.filter(~is_blank(F.col("text"))).withColumn("content", content_hash(key))
+    now = current.groupBy(*pair).agg(F.count("*").alias("n"))
+    before = held.groupBy(*pair).agg(F.count("*").alias("m"))
+    other = now.join(before, pair, "full").filter(~F.col("n").eqNullSafe(F.col("m")))
+    other = materialize(other, "cache-changes")
+    fresh = _encoded(docs, vocabulary, key, other.filter("n IS NOT NULL").select(*pair))
+    gone = other.filter("m IS NOT NULL").select(
+        *pair, F.lit(None).cast("array<int>").alias("ids"), F.lit(0).cast(fresh.schema["n_tokens"].dataType).alias("n_tokens"),
+        F.lit(True).alias("gone"),
+    )
+    return fresh.unionByName(gone)
+
+
+def _require_story(docs: DataFrame) -> None:
+    if docs.filter(~is_blank(F.col("text"))).isEmpty():
+        raise ValueError(EMPTY_CACHE)
+
+
+def _encoded(docs: DataFrame, vocabulary: Vocabulary, key: str, only: DataFrame | None = None) -> DataFrame:
+    """Encoded rows with their content; of ``only`` some pairs of key and content, if given."""
+    rows = docs.select(key, content_hash(key).alias("content"), "text")
+    if only is not None:
+        rows = rows.join(only, [key, "content"], "left_semi")
+    named = rows.select(F.struct(key, "content").alias("__row"), "text")
+    return story_tokens(named, vocabulary, "__row").select(
+        f"__row.{key}", "__row.content", "ids", "n_tokens", F.lit(False).alias("gone")
     )
 
 
 def _source_key(docs: DataFrame, vocabulary: Vocabulary, key: str) -> dict:
-    row = docs.agg(
-        F.count("*").alias("rows"), F.bit_xor(hex_to_long(content_hash(key), 15)).alias("hash")
-    ).first()
+    stories = docs.filter(~is_blank(F.col("text")))  # blank rows have no tokens to keep
+    row = stories.agg(F.count("*").alias("rows"), source_hash(key).alias("hash")).first()
     return {
         "version": CACHE_VERSION,
         "rows": row["rows"],
@@ -365,7 +420,9 @@ def _source_key(docs: DataFrame, vocabulary: Vocabulary, key: str) -> dict:
     }
 
 
-_META_SCHEMA = "version BIGINT, rows BIGINT, hash BIGINT, vocab_sha256 STRING, vocab_size BIGINT"
+_META_SCHEMA = (
+    "version BIGINT, rows BIGINT, hash BIGINT, vocab_sha256 STRING, vocab_size BIGINT, parts ARRAY<STRING>"
+)
 
 
 def _read_meta(spark: SparkSession, path: str) -> dict | None:
@@ -373,15 +430,16 @@ def _read_meta(spark: SparkSession, path: str) -> dict | None:
     return rows[0].asDict() if rows else None
 
 
-def _store_cache(table: DataFrame, meta: dict, base: str) -> DataFrame:
+def _store_cache(table: DataFrame, meta: dict, base: str, earlier: list[str]) -> DataFrame:
+    """Publish a folder that follows ``earlier`` ones; the live table after it."""
     spark = table.sparkSession
+    key = table.columns[0]
 
     def write(counted: DataFrame, path: str) -> None:
         counted.write.parquet(path)
-        spark.createDataFrame([tuple(meta.values())], _META_SCHEMA).coalesce(1).write.json(
-            f"{path}-meta"
-        )
+        row = (*meta.values(), [*earlier, path])
+        spark.createDataFrame([row], _META_SCHEMA).coalesce(1).write.json(f"{path}-meta")
 
     # unordered: every row has its key, and a range exchange would encode the corpus twice
-    sinks.publish(table, base, F.col("n_tokens"), write, "text corpus is empty")
-    return spark.read.parquet(sinks.current_version(spark, base)["path"])
+    sinks.publish(table, base, F.col("n_tokens"), write, EMPTY_CACHE)
+    return read_token_cache(spark, [*earlier, sinks.current_version(spark, base)["path"]], key)

@@ -140,7 +140,7 @@ _FINGERPRINT = "sha256('<unk>' || chr(10) || '<bos>' || chr(10) || '<eos>' || ch
 @query(
     "cache_manifest",
     f"""select 1 as version, count(*) as source_rows, sum(strlen(text))::BIGINT as source_bytes,
-          bit_xor(('0x' || substr(md5(doc_id || chr(31) || text), 1, 15))::BIGINT) as source_hash,
+          (sum(('0x' || substr(md5(doc_id || chr(31) || text), 1, 15))::HUGEINT) % 1152921504606846976)::BIGINT as source_hash,
           {_FINGERPRINT} as vocab_sha256, 260::BIGINT as vocab_size, 'uint16' as dtype,
           sum(strlen(text) + 3)::BIGINT as token_count from documents""",
 )

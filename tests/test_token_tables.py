@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lexweave.operators import ordering, token_tables as D
 from lexweave.operators.vocabulary import Vocabulary
+from lexweave.sources import sinks
 
 
 def stream(spark, *arrays):
@@ -113,6 +114,46 @@ def test_cache_reuse_and_increment(spark, docs_of, base):
     assert not reused
 
 
+def folder_rows(spark, base):
+    """Rows and tombstones in the newest folder of a cache."""
+    rows = spark.read.parquet(sinks.current_version(spark, base)["path"])
+    return rows.filter("NOT gone").count(), rows.filter("gone").count()
+
+
+def test_cache_deltas_and_compaction(spark, docs_of, base):
+    texts = [f"story {i}" for i in range(30)]
+
+    def check(reads, added, gone, max_deltas=4):
+        live, reused = D.write_token_cache(docs_of(reads), Vocabulary(), base, max_deltas=max_deltas)
+        want = D.story_tokens(docs_of(reads), Vocabulary()).select("doc_id", "ids").collect()
+        assert not reused and sorted(live.select("doc_id", "ids").collect()) == sorted(want)
+        assert folder_rows(spark, base) == (added, gone)
+        again, reused = D.write_token_cache(docs_of(reads), Vocabulary(), base)
+        assert reused and sorted(again.select("doc_id", "ids").collect()) == sorted(want)
+
+    check(texts, 30, 0)
+    check(texts + ["one more"], 1, 0)  # one row added, one row written
+    check([*texts[:3], "another", *texts[4:], "one more"], 1, 1)
+    check([*texts[:3], "another", *texts[4:]], 0, 1)
+    check(texts, 1, 1)  # a text that comes back
+    check(texts + ["and on"], 31, 0, max_deltas=3)  # written whole after so many deltas
+    with pytest.raises(ValueError, match="no story"):
+        D.write_token_cache(docs_of([" "]), Vocabulary(), base)
+
+
+def test_repeated_rows_change_the_manifest(spark, docs_of, base):
+    one = docs_of(["a story", "b story"])
+    twice = one.union(one)
+    assert D.cache_manifest(one, D.story_tokens(one, Vocabulary()), Vocabulary()).first().source_hash != (
+        D.cache_manifest(twice, D.story_tokens(twice, Vocabulary()), Vocabulary()).first().source_hash
+    )
+    D.write_token_cache(one, Vocabulary(), base)
+    live, reused = D.write_token_cache(twice, Vocabulary(), base)
+    assert not reused and live.count() == 4
+    live, reused = D.write_token_cache(one, Vocabulary(), base)
+    assert not reused and live.count() == 2
+
+
 def test_storage_type(spark):
     sizes = spark.createDataFrame([(260,), (65536,), (65537,), (2**31,)], "v BIGINT")
     assert [r.t for r in sizes.select(D.storage_type(F.col("v")).alias("t")).collect()] == [
