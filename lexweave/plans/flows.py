@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import EOS_TOKEN
-from ..functions.text import story_chunk
+from ..functions.text import story_chunk, strip
 from ..functions.tokens import byte_token_count, take_last
-from ..operators import choice_eval, instruction, lm_eval, token_tables
-from ..operators.encoding import encode_corpus, token_count_udf
+from ..operators import choice_eval, instruction, lm_eval, sampling, token_tables
+from ..operators.encoding import decode_ids, encode_corpus, token_count_udf, token_ids
 from ..operators.ngram import NgramModel, score_continuations
+from ..operators.ordering import rank_before
 from ..operators.vocabulary import Vocabulary, train_vocabulary
 from ..session import materialize
 from ..sources import corpus, records
@@ -156,3 +157,45 @@ def evaluate_choices(
         scores = choice_eval.score_choices(together, model, block_size)
     preds = materialize(choice_eval.predictions(fitted.join(scores, "idx")), "predictions")
     return preds, choice_eval.evaluation_report(preds, prompt_mode=prompt_mode, shots=shots)
+
+
+def generate_samples(
+    prompts: DataFrame,
+    vocabulary: Vocabulary,
+    generate: Callable[[DataFrame], DataFrame],
+    *,
+    mode: str,
+    block_size: int,
+    samples_per_prompt: int,
+    seed: int,
+    order: str = "ord",
+) -> DataFrame:
+    """Samples of every prompt: fit, plan, encode, generate, decode, strip.
+
+    ``prompts`` has a unique bigint ``order``, ``id`` and, by mode, ``prompt`` or ``instruction``
+    and ``input``. Instructions are cut to the block like training records; one that cannot fit
+    fails the job. A prompt is encoded once for all its samples. ``generate`` maps
+    ``sample_index, seed, prompt_ids`` (the last ``block_size`` tokens) to ``sample_index,
+    new_ids``: ``batch_generate`` or ``generate_with_scorer`` with their settings.
+
+    Returns ``order, id, sample, sample_index, seed, prompt, input, input_truncated,
+    prompt_tokens, new_ids, output``, which the sample report takes.
+    """
+    if mode == "instruction":
+        fitted = instruction.fit_prompts(prompts, vocabulary, block_size, reserve=0)
+        rows = instruction.require_fitting(fitted, "id")
+    elif mode == "completion":
+        rows = prompts.withColumn("input", F.lit("")).withColumn("input_truncated", F.lit(False))
+    else:
+        raise ValueError("mode must be 'completion' or 'instruction'")
+    rows = rows.withColumn("prompt_ids", token_ids(vocabulary)(F.col("prompt")))
+    placed = materialize(rank_before(rows, order, "__place"), "sample-prompts")
+    plan = sampling.sample_plan(placed, "__place", samples_per_prompt, seed)
+    context = take_last(F.col("prompt_ids"), block_size)
+    made = materialize(generate(plan.select("sample_index", "seed", context.alias("prompt_ids"))), "samples")
+    shown = F.col("instruction") if mode == "instruction" else F.col("prompt")
+    output = strip(decode_ids(F.col("new_ids"), vocabulary, skip_special=True))
+    return plan.join(made, "sample_index").select(
+        order, "id", "sample", "sample_index", "seed", shown.alias("prompt"), "input", "input_truncated",
+        F.size("prompt_ids").alias("prompt_tokens"), "new_ids", output.alias("output"),
+    )

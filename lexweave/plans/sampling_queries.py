@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..constants import BYTE_VOCAB_SIZE, EOS_ID
+from ..constants import BYTE_VOCAB_SIZE, EOS_ID, REPORT_SETTINGS
 from ..functions.metrics import learning_rate
 from ..functions.text import uniform_draw
 from ..functions.tokens import byte_ids, byte_token_count, take_last
@@ -13,8 +13,11 @@ from ..operators import sampling as G
 from ..operators.instruction import fit_prompts, require_fitting
 from ..operators.ordering import rank_before
 from ..operators.vocabulary import Vocabulary
+from ..session import fresh_path
+from ..sources import sinks
 from . import sql as S
 from .choice_queries import corpus_model
+from .flows import generate_samples
 from .instruct_queries import _PLAIN, _with
 from .views import dealt_documents, documents, instruction_records, table
 
@@ -167,6 +170,59 @@ def sample_plan(spark, sf):
     )
 
 
+NEW_TOKENS = 6
+
+
+def _samples(spark, sf):
+    """Samples of every instruction record, from the corpus' own n-gram model."""
+    contexts = _contexts(spark, sf)
+
+    def generate(plan):
+        return G.batch_generate(plan, contexts, longest=2, max_new_tokens=NEW_TOKENS, eos_id=EOS_ID)
+
+    prompts = instruction_records(spark, sf).select(
+        F.col("rec_id").alias("ord"), F.concat(F.lit("rec-"), F.col("rec_id").cast("string")).alias("id"),
+        "instruction", "input",
+    )
+    return generate_samples(
+        prompts, Vocabulary(), generate, mode="instruction", block_size=1 << 20, samples_per_prompt=SAMPLES, seed=SEED
+    )
+
+
+@query(
+    "generate_samples",
+    f"""with recursive {S.STREAM.strip()}, {S.INSTRUCT}, {_CONTEXTS.replace("started as (", "unused as (")},
+        asked as (select rec_id, row_number() over (order by rec_id) - 1 as ord, {S.ids(f"case when input = '' then {_PLAIN} else {_with('input')} end")} as p
+          from instruct),
+        started as (select rec_id, s::INTEGER as sample, ord * {SAMPLES} + s - 1 as sample_index, ord * {SAMPLES} + s - 1 + {SEED} as seed,
+          len(p)::INTEGER as prompt_tokens, p[len(p) - 1] as c2, p[len(p)] as c1 from asked, range(1, {SAMPLES + 1}) r(s)),
+        gen as (select sample_index, seed, c2, c1, 0 as step, '' as ids, false as done from started
+          union all select g.sample_index, g.seed, g.c1, s.token, g.step + 1,
+            g.ids || case when g.step > 0 then ',' else '' end || s.token, s.token = {EOS_ID}
+          from gen g left join seen a on a.ctx = g.c2 || ',' || g.c1 left join seen b on b.ctx = g.c1::VARCHAR
+            join spans s on s.ctx = coalesce(a.ctx, b.ctx, '') and {_draw('g.step')} > s.lo and {_draw('g.step')} <= s.hi
+          where not g.done and g.step < {NEW_TOKENS}),
+        made as (select sample_index, arg_max(ids, step) as new_ids from gen group by 1)
+        select 'rec-' || rec_id as id, sample, sample_index, seed, prompt_tokens, false as input_truncated, new_ids
+        from started join made using (sample_index)""",
+)
+def generate_samples_query(spark, sf):
+    return _samples(spark, sf).select(
+        "id", "sample", "sample_index", "seed", "prompt_tokens", "input_truncated",
+        F.array_join("new_ids", ",").alias("new_ids"),
+    )
+
+
+@query("generate_report")
+def generate_report(spark, sf):
+    """Lines of the published report: outputs may hold any bytes, which SQL cannot decode."""
+    base = fresh_path(spark, "sample-report")
+    said = ("n-gram counts of the corpus", "corpus", "instruction", TEMPERATURE, TOP_K, NEW_TOKENS)
+    settings = dict(zip(REPORT_SETTINGS, said))
+    sinks.write_sample_report(_samples(spark, sf), base, "sample_index", settings)
+    return sinks.read_published(spark, base)
+
+
 # --- schedules and histories ------------------------------------------------------
 
 _RATE = """case when step < 100 then 3e-4::DOUBLE * (step + 1) / 100.0::DOUBLE when step >= 600 then 3e-5::DOUBLE

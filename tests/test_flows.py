@@ -91,3 +91,48 @@ def test_sample_report_file(spark, base):
     assert text.startswith("# Samples of generated text\n\n- Checkpoint: `x`\n")
     assert "with them.\n\n## p (sample 1, seed 42)\n\nPrompt:\n\n```text\nSay\n```\n\nModel output:" in text
     assert "```text\nHi\n```\n\n## p (sample 2" in text and text.endswith("```text\nHo\n```\n")
+
+
+def test_samples_from_prompt_to_report(spark, base):
+    from lexweave.constants import REPORT_SETTINGS
+    from lexweave.operators.sampling import generate_with_scorer
+    from lexweave.plans.flows import generate_samples
+    from lexweave.sources import sinks
+
+    vocabulary = Vocabulary()
+    space, letter = (vocabulary.tokens.index(b) for b in (b" ", b"x"))
+
+    def make_scorer():
+        def score(contexts):  # a blank first, then letters, an end marker after three of those
+            out = np.full((len(contexts), vocabulary.size), -50.0)
+            for row, context in zip(out, contexts):
+                run = len(context) - 1 - max([i for i, t in enumerate(context) if t != letter], default=-1)
+                row[vocabulary.eos_id if run == 3 else letter if run or context[-1] == space else space] = 50.0
+            return out
+        return score
+
+    def generate(plan):
+        return generate_with_scorer(
+            plan, make_scorer, block_size=64, temperature=1.0, top_k=None, max_new_tokens=8, eos_id=vocabulary.eos_id
+        )
+
+    options = dict(block_size=400, samples_per_prompt=2, seed=5)
+    rows = [(7, "a", "Say it.", ""), (9, "b", "Say more.", "word " * 200)]
+    prompts = spark.createDataFrame(rows, "ord BIGINT, id STRING, instruction STRING, input STRING")
+    got = generate_samples(prompts, vocabulary, generate, mode="instruction", **options).orderBy("sample_index").collect()
+    assert [(r.id, r.sample, r.seed, r.input_truncated) for r in got] == [
+        ("a", 1, 5, False), ("a", 2, 6, False), ("b", 1, 7, True), ("b", 2, 8, True)
+    ]
+    # new tokens alone, decoded without the end marker and stripped
+    assert {r.output for r in got} == {"xxx"} and got[2].prompt_tokens <= 400
+    assert got[0].new_ids == [space, letter, letter, letter, vocabulary.eos_id]
+
+    plain = prompts.select("ord", "id", F.col("instruction").alias("prompt"))
+    table = generate_samples(plain, vocabulary, generate, mode="completion", **options)
+    assert {r.prompt_tokens for r in table.collect()} == {7, 9}
+    sinks.write_sample_report(table, base, "sample_index", dict.fromkeys(REPORT_SETTINGS, 1))
+    lines = [r.value for r in sinks.read_published(spark, base).collect()]
+    assert sum(line.startswith("## ") for line in lines) == 4
+
+    with pytest.raises(Exception, match="does not fit"):
+        generate_samples(prompts, vocabulary, generate, mode="instruction", block_size=20, samples_per_prompt=1, seed=1).collect()
