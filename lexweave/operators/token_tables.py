@@ -222,7 +222,8 @@ def sampled_windows(
 ) -> DataFrame:
     """Windows at pseudo-random starts, drawn with replacement, one per ``samples`` row.
 
-    A start is fixed by ``(seed, item)``. A window lies in two neighbouring blocks.
+    A start is fixed by ``(seed, item)``. A window lies in two neighbouring blocks, and only
+    rows that reach into such a block are cut up.
     """
     total = stream_length(offsets)
     draws = samples.select(
@@ -234,7 +235,8 @@ def sampled_windows(
     block = F.floor(F.col("start") / block_size)
     wanted = draws.select(item, "start", F.explode(F.array(block, block + 1)).alias("block"))
     # an empty last block is absent when the window ends with the one before it
-    found = wanted.join(token_blocks(offsets, block_size), "block")
+    touched = offsets.join(_touched(offsets, wanted, block_size), "start_pos", "left_semi")
+    found = wanted.join(token_blocks(touched, block_size), "block")
     joined = _collect_pieces(
         found.select(item, "start", F.col("block").alias("at"), F.col("tokens").alias("piece")),
         item,
@@ -249,6 +251,14 @@ def sampled_windows(
     )
 
 
+def _touched(offsets: DataFrame, wanted: DataFrame, block_size: int) -> DataFrame:
+    """``start_pos`` of the rows with tokens in a wanted block, from lengths alone."""
+    first = F.floor(F.col("start_pos") / block_size)
+    last = F.floor((F.col("start_pos") + F.col("n_tokens") - 1) / block_size)
+    directory = offsets.filter("n_tokens > 0").select("start_pos", F.explode(F.sequence(first, last)).alias("block"))
+    return directory.join(wanted.select("block").distinct(), "block", "left_semi").select("start_pos").distinct()
+
+
 def batches(
     ranked: DataFrame, rank: str, batch_size: int, *, by: tuple[str, ...] = (), drop_last: Column
 ) -> DataFrame:

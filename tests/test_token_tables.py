@@ -90,6 +90,19 @@ def test_sampled_windows_are_real_windows(spark):
         assert (r.inputs, r.targets) == (data[r.start : r.start + 6], data[r.start + 1 : r.start + 7])
 
 
+def test_few_samples_touch_few_rows(spark):
+    table = stream(spark, *[range(i, i + 7) for i in range(300)], range(5_000))
+    samples = spark.range(10).withColumnRenamed("id", "sample")
+    rows = D.sampled_windows(table, 16, samples, 3).collect()
+    data = [t for i in range(300) for t in range(i, i + 7)] + list(range(5_000))
+    assert all((r.inputs, r.targets) == (data[r.start : r.start + 16], data[r.start + 1 : r.start + 17]) for r in rows)
+    blocks = spark.createDataFrame([(r.start // 16 + k,) for r in rows for k in (0, 1)], "block BIGINT")
+    touched = D._touched(table, blocks, 16).count()
+    wanted = {s for s, n in ((r.start_pos, r.n_tokens) for r in table.collect())
+              if any(s < (b.block + 1) * 16 and s + n > b.block * 16 for b in blocks.collect())}
+    assert len(rows) == 10 and touched == len(wanted) <= 20 * 4
+
+
 def test_batches_drop_only_where_told(spark):
     df = spark.range(10).withColumnRenamed("id", "rk")
     sizes = lambda drop: sorted(r.n_rows for r in D.batches(df, "rk", 4, drop_last=F.lit(drop)).collect())
