@@ -69,52 +69,78 @@ class Words:
         return {b" ".join(words[i : i + n]) for i in range(max(len(words) - n + 1, 1))}
 
 
+class Part:
+    """Items of one shingle width: which high hash bits occur, and sketches by item size."""
+
+    def __init__(self, sketches: dict[int, tuple[list, list]]):
+        self.sizes = []
+        self.maybe = np.zeros(1 << 20, bool)
+        for _, (kept, owners) in sorted(sketches.items()):
+            sketch, owner = np.concatenate(kept), np.concatenate(owners)
+            order = np.argsort(sketch, kind="stable")
+            self.sizes.append((sketch[order][-1], sketch[order], owner[order]))
+            self.maybe[sketch >> np.uint64(44)] = True
+
+
 class Sketches:
     """Sketches of one block of items, partitioned by the number of shingles of an item.
 
     A partition keeps the MinHash sketches of its items, the smallest shingle hashes, and the
     largest hash in any of them: shingles of a document beyond that cannot matter there. Its
-    sketch sizes follow from its sizes, so short items are searched with short sketches.
+    sketch sizes follow from its sizes, so short items are searched with short sketches. Items
+    of fewer than ``n`` words have partitions of their own, one for each number of words.
     """
 
     def __init__(self, ids: list[int | None], texts: list[str | None], n: int, containment: float):
-        self.n, self.containment = n, containment
+        self.containment = containment
         self.same: list[list[int | None]] = []
         self.exact: list[frozenset[bytes]] = []
-        known: dict[frozenset[bytes], int] = {}
-        parts: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+        self.widths: dict[int, Part] = {}
         words = Words(pa.array(texts, pa.large_string()))
-        hashes, first = shingle_hashes(words.words, words.bounds, n)
-        for row, item in enumerate(ids):
-            own = frozenset(words.shingles(row, n))
-            if not own:
-                continue
-            if own in known:
-                self.same[known[own]].append(item)
-                continue
-            known[own] = len(self.exact)
-            self.exact.append(own)
-            self.same.append([item])
-            distinct = np.unique(hashes[first[row] : first[row + 1]])
-            sketch = distinct[: sketch_size(len(distinct), containment)]
-            part = parts[len(distinct).bit_length()]
-            part[0].append(sketch)
-            part[1].append(np.full(len(sketch), known[own]))
-        self.parts = []
-        self.maybe = np.zeros(1 << 20, bool)
-        for _, (sketches, owners) in sorted(parts.items()):
-            sketch, owner = np.concatenate(sketches), np.concatenate(owners)
-            order = np.argsort(sketch, kind="stable")
-            self.parts.append((sketch[order][-1], sketch[order], owner[order]))
-            self.maybe[sketch >> np.uint64(44)] = True
+        widths = np.minimum(np.diff(words.bounds), n)
+        for width in np.unique(widths[widths > 0]).tolist():
+            hashes, first = shingle_hashes(words.words, words.bounds, width)
+            known: dict[frozenset[bytes], int] = {}
+            sketches: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+            for row in np.flatnonzero(widths == width).tolist():
+                own = frozenset(words.shingles(row, width))
+                if own in known:
+                    self.same[known[own]].append(ids[row])
+                    continue
+                known[own] = len(self.exact)
+                self.exact.append(own)
+                self.same.append([ids[row]])
+                distinct = np.unique(hashes[first[row] : first[row + 1]])
+                sketch = distinct[: sketch_size(len(distinct), containment)]
+                kept, owners = sketches[len(distinct).bit_length()]
+                kept.append(sketch)
+                owners.append(np.full(len(sketch), known[own]))
+            self.widths[width] = Part(sketches)
 
     def search(self, texts: pa.Array) -> list[list[dict]]:
         """For each text the items it holds, by sketch, then counted exactly."""
         words = Words(texts)
-        hashes, first = shingle_hashes(words.words, words.bounds, self.n)
-        at = np.flatnonzero(self.maybe[hashes >> np.uint64(44)])
+        out: list[list[dict]] = [[] for _ in range(len(texts))]
+        for width, part in self.widths.items():
+            for row, candidates in self._candidates(words, width, part).items():
+                held = words.shingles(row, width)
+                for c in sorted(candidates):
+                    size = len(self.exact[c])
+                    shared = len(self.exact[c] & held)
+                    if shared >= math.ceil(self.containment * size - 1e-9):
+                        out[row] += [
+                            {"item_id": i, "shared": shared, "size": size, "containment": shared / size}
+                            for i in self.same[c]
+                        ]
+        return out
+
+    @staticmethod
+    def _candidates(words: Words, width: int, part: Part) -> dict[int, set[int]]:
+        """Items of a width with a sketch hash among a text's shingles, by text."""
+        hashes, first = shingle_hashes(words.words, words.bounds, width)
+        at = np.flatnonzero(part.maybe[hashes >> np.uint64(44)])
         found: dict[int, set[int]] = defaultdict(set)
-        for ceiling, sketch, owner in self.parts:
+        for ceiling, sketch, owner in part.sizes:
             low = at[hashes[at] <= ceiling]
             left = np.searchsorted(sketch, hashes[low], "left")
             right = np.searchsorted(sketch, hashes[low], "right")
@@ -122,18 +148,7 @@ class Sketches:
             rows = np.searchsorted(first, low[hit], "right") - 1
             for row, a, b in zip(rows.tolist(), left[hit].tolist(), right[hit].tolist()):
                 found[row].update(owner[a:b].tolist())
-        out: list[list[dict]] = [[] for _ in range(len(texts))]
-        for row, candidates in found.items():
-            held = words.shingles(row, self.n)
-            for c in sorted(candidates):
-                size = len(self.exact[c])
-                shared = len(self.exact[c] & held)
-                if shared >= math.ceil(self.containment * size - 1e-9):
-                    out[row] += [
-                        {"item_id": i, "shared": shared, "size": size, "containment": shared / size}
-                        for i in self.same[c]
-                    ]
-        return out
+        return found
 
 
 def blocks(items: DataFrame, item: str, text: str, size: int) -> Iterator[tuple[list, list]]:
@@ -168,9 +183,9 @@ def leaks(
     searched by one column function, so texts are never shuffled. No match is lost: a sketch
     holds one shingle more than a text with enough of the item may lack.
 
-    Words are runs of letters and digits, lower-cased. An item of fewer than ``n`` words is one
-    shingle, which only an equally short text holds; one without words, or null, is never found.
-    Equal items are all reported. Null and empty texts hold nothing.
+    Words are runs of letters and digits, lower-cased. An item of ``k < n`` words is one shingle of
+    ``k`` words, held by every text with these words in a row; one without words, or null, is
+    never found. Equal items are all reported. Null and empty texts hold nothing.
     """
     context = items.sparkSession.sparkContext
     found = [
@@ -185,12 +200,19 @@ def leaks(
 def contaminated(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options
 ) -> DataFrame:
-    """Rows ``key, item_id, shared, size, containment`` for each document and item it holds."""
+    """Rows ``key, item_id, shared, size, containment`` for each document and item it holds.
+
+    Null and empty texts and empty tables give no rows; repeated documents are reported each,
+    with null keys too.
+    """
     found = docs.select(F.col(key), leaks(text, items, **options).alias("_leaks"))
     return found.select(key, F.explode("_leaks").alias("m")).select(key, "m.*")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
-    """Documents that hold no item, with all their columns."""
+    """Documents that hold no item, with all their columns.
+
+    Null and empty texts stay, repeated rows stay or go together, and without items all stay.
+    """
     found = F.coalesce(F.size(leaks(text, items, **options)), F.lit(0))
     return docs.filter(found <= 0)

@@ -115,10 +115,14 @@ _WORDS = r"""regexp_extract_all(regexp_replace(lower(coalesce(text, '')),
  '[0-9a-z\x{80}-\x{10FFFF}]+')"""
 
 
+#: Words of items and documents, and how many words a shingle of an item has.
+_ITEM_WORDS = f"""SELECT item_id, w, least(len(w), 5)::BIGINT AS k
+  FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0"""
+
+
 def _shingles(key: str, rows: str) -> str:
-    return f"""SELECT DISTINCT {key}, unnest([array_to_string(w[i:i + 4], ' ')
-      FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
-    FROM (SELECT {key}, {_WORDS} AS w FROM {rows}) WHERE len(w) > 0"""
+    return f"""SELECT DISTINCT {key}, k, unnest([array_to_string(w[i:i + k - 1], ' ')
+      FOR i IN range(1, greatest(len(w) - k + 1, 0) + 1)]) AS s FROM {rows}"""
 
 
 ORACLES = {
@@ -132,10 +136,12 @@ SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
 FROM p LEFT JOIN g ON p.d = g.d AND p.n >= 1000
 """,
     "op2_decontamination": f"""
-WITH d AS ({_shingles("doc_id", "documents")}),
-b AS ({_shingles("item_id", "benchmark")}),
+WITH i AS ({_ITEM_WORDS}),
+b AS ({_shingles("item_id", "i")}),
+t AS (SELECT doc_id, w, k FROM (SELECT doc_id, {_WORDS} AS w FROM documents), (SELECT DISTINCT k FROM i)),
+d AS ({_shingles("doc_id", "t")}),
 n AS (SELECT item_id, count(*) AS size FROM b GROUP BY item_id),
-h AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+h AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN b USING (k, s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, shared, size, shared / size AS containment
 FROM h JOIN n USING (item_id) WHERE shared >= ceil(0.8 * size - 1e-9)
 """,

@@ -9,19 +9,25 @@ from lexweave.llm import decontam, fingerprints, sharding, warc
 from lexweave.session import fresh_path
 
 
-def shingles(text):
-    words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[\u0080-©«-´¶-¹»-¿ -⁯]", " ", (text or "").lower()))
-    return {" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+def words_of(text):
+    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[\u0080-©«-´¶-¹»-¿\u2000-\u206f]", " ", (text or "").lower()))
+
+
+def shingles(words, n):
+    return {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)}
 
 
 def slow_matches(docs, items):
     out = set()
     for d in docs:
-        held = shingles(d.text)
+        words = words_of(d.text)
         for i in items:
-            own = shingles(i.text)
-            if own and len(own & held) >= 0.8 * len(own) - 1e-9:
-                out.add((d.doc_id, i.item_id, len(own & held), len(own)))
+            item = words_of(i.text)
+            n = min(len(item), 5)
+            own = shingles(item, n) if item else set()
+            shared = own & shingles(words, n)
+            if own and len(shared) >= 0.8 * len(own) - 1e-9:
+                out.add((d.doc_id, i.item_id, len(shared), len(own)))
     return out
 
 
@@ -39,6 +45,19 @@ def test_decontamination_matches_brute_force(spark, sample):
     assert kept.count() == docs.count() - len({w[0] for w in wanted})
 
 
+def test_short_items_are_found_inside_documents(spark, no_docs):
+    texts = ["we say here: the capital of France is old", "capital of", "of capital france", "the Capital, of france!", "one word", "", None, "x " * 70000 + "capital of france"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0])], "doc_id long, text string")
+    rows = [(1, "capital of France"), (2, "word"), (3, "the capital of france is"), (4, "capital of france is"), (5, "capital of france"), (6, "x x"), (7, "here the capital of france is old")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    found = decontam.contaminated(docs, items).collect()
+    wanted = slow_matches(docs.distinct().collect(), items.collect())
+    assert {(r.doc_id, r.item_id, r.shared, r.size) for r in found} == wanted
+    assert len(found) == len(wanted) + len([w for w in wanted if w[0] == 0])  # the repeated document
+    assert {w[:2] for w in wanted} >= {(0, 1), (0, 3), (0, 4), (0, 5), (0, 7), (3, 1), (4, 2), (7, 1), (7, 6)}
+    assert {r.doc_id for r in decontam.drop_contaminated(docs, items).collect()} == {1, 2, 5, 6}
+
+
 def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
     rows = [(1, None), (2, ""), (3, "plain text about rivers and hills"), (4, "plain text about rivers and hills"), (None, "a plain text about rivers and hills and towns"), (5, "two words")]
     items = spark.createDataFrame(rows, "item_id long, text string")
