@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordering import running_before
 
@@ -12,9 +12,14 @@ def evaluation_steps(df: DataFrame, interval: int, last_step: str) -> DataFrame:
     return df.filter((F.col("step") % interval == 0) | (F.col("step") == F.col(last_step)))
 
 
+def is_logged(interval: int) -> Column:
+    """Whether a step logs: every ``interval``-th and the first."""
+    return (F.col("step") % interval == 0) | (F.col("step") == 1)
+
+
 def log_steps(df: DataFrame, interval: int) -> DataFrame:
     """Steps that log: every ``interval``-th and the first."""
-    return df.filter((F.col("step") % interval == 0) | (F.col("step") == 1))
+    return df.filter(is_logged(interval))
 
 
 def running_best(history: DataFrame, run: str = "run_id", initial: str | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..constants import IGNORE_INDEX
 from ..session import materialize
 from .skew import lookup
 
@@ -78,6 +79,20 @@ def ngram_rows(table: DataFrame, *keys: str, context: Column | None = None) -> D
     return _exploded(rows, keys, _grams(F.col("__context"), F.col("ids")))
 
 
+def target_rows(records: DataFrame, *keys: str) -> DataFrame:
+    """``keys, pos, c2, c1, token``: the targets of encoded records that are not masked.
+
+    A target follows the token at its own place in ``tokens``; the first has one token before it.
+    """
+    before = F.concat(F.array(F.lit(None).cast("int")), F.col("tokens"))
+    grams = F.arrays_zip(
+        F.slice(before, F.lit(1), F.size("tokens")).alias("c2"),
+        F.col("tokens").alias("c1"),
+        F.col("targets").alias("token"),
+    )
+    return _exploded(records, keys, grams).filter(F.col("token") != IGNORE_INDEX)
+
+
 def ngram_counts(grams: DataFrame, *keys: str) -> DataFrame:
     """``keys, c2, c1, token, n``: equal n-grams folded before anything moves."""
     return grams.groupBy(*keys, "c2", "c1", "token").agg(F.count("*").alias("n"))

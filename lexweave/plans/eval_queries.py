@@ -8,17 +8,21 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..constants import BYTE_VOCAB_SIZE, EOS_ID
+from ..operators import history as H
 from ..operators import lm_eval as E
 from ..operators.instruction import kept_records
-from ..operators.ngram import NgramModel, ngram_counts, ngram_rows
+from ..operators.ngram import NgramModel, ngram_counts, ngram_rows, target_rows
 from ..operators.token_tables import contiguous_split
+from ..session import materialize
 from . import sql as S
-from .instruct_queries import _CODED, _TARGETS, encoded
+from .instruct_queries import _CODED, _RANKED, _TARGETS, _ranked, encoded
 from .token_queries import FRACTION
 from .views import NEWLINE_ID, story_stream
 
 QUERIES, ORACLES = {}, {}
 BLOCK, STRIDE, BATCH = 256, 128, 4
+#: Records of an instruction batch, and batches of a quick look at the held-out loss.
+RECORDS, QUICK = 8, 20
 
 
 def query(name, oracle=None):
@@ -251,3 +255,62 @@ def masked_loss(spark, sf):
     return E.masked_losses(targets.withColumn("logp", logp), "rec_id").withColumn(
         "loss", F.round("loss", 6)
     )
+
+
+# --- held-out loss of responses ------------------------------------------------------
+
+
+def _response_losses(spark, sf):
+    """``split, batch_id, loss, n`` under the n-gram model of the training responses."""
+    rows = materialize(_ranked(spark, sf).select("split", "rk", "tokens", "targets"), "ranked-records")
+    batch = F.floor(F.col("rk") / RECORDS).alias("batch_id")
+    grams = target_rows(rows.select("split", batch, "tokens", "targets"), "split", "batch_id")
+    model = NgramModel.fit(grams.filter(F.col("split") == "train"), BYTE_VOCAB_SIZE)
+    scored = model.score(ngram_counts(grams, "split", "batch_id"))
+    return scored.withColumn("loss", -F.col("logp"))
+
+
+_RESPONSES = f"""{_RANKED},
+aligned as (select split, rk // {RECORDS} as batch_id, unnest(targets) as tok, unnest(tokens) as c1,
+    unnest(list_concat([null], tokens[1:len(tokens) - 1])) as c2 from ranked),
+answers as (select * from aligned where tok <> -100),
+train as (select * from answers where split = 'train'), {_MODEL},
+scored as (select e.split, e.batch_id, {_LOGP} as logp from answers e {_JOIN_MODEL}),
+losses as (select split, batch_id, count(*) as n_targets, avg(-logp) as batch_loss from scored group by 1, 2)"""
+
+
+@query(
+    "response_loss",
+    f"""with {S.INSTRUCT}, {_RESPONSES}
+        select split, 'all' as scope, count(*) as n_batches, round(avg(batch_loss), 6) as mean_loss
+        from losses group by split union all
+        select split, 'first', count(*), round(avg(batch_loss), 6) from losses where batch_id < {QUICK} group by split""",
+)
+def response_loss(spark, sf):
+    losses = materialize(_response_losses(spark, sf), "response-losses")
+    every = E.batch_mean_loss(losses, by=("split",)).withColumn("scope", F.lit("all"))
+    first = E.batch_mean_loss(losses, max_batches=QUICK, by=("split",)).withColumn("scope", F.lit("first"))
+    both = every.unionByName(first)
+    return both.select("split", "scope", "n_batches", F.round("mean_loss", 6).alias("mean_loss"))
+
+
+@query(
+    "loss_history",
+    f"""with {S.INSTRUCT}, {_RESPONSES},
+        hist as (select split as run_id, batch_id + 1 as step, n_targets, batch_loss as val_loss from losses),
+        b as (select *, min(val_loss) over (partition by run_id order by step) as best,
+          min(val_loss) over (partition by run_id order by step rows between unbounded preceding and 1 preceding) as before
+          from hist)
+        select run_id, step, n_targets, step % 10 = 0 or step = 1 as logged, round(val_loss, 6) as val_loss,
+          round(best, 6) as best_val_loss, before is null or val_loss < before as improved from b""",
+)
+def loss_history(spark, sf):
+    batches = E.batch_losses(_response_losses(spark, sf), by=("split",)).select(
+        F.col("split").alias("run_id"), (F.col("batch_id") + 1).alias("step"), "n_targets",
+        F.col("batch_loss").alias("val_loss"),
+    )
+    best = H.running_best(materialize(batches, "loss-history"))
+    return best.select(
+        "run_id", "step", "n_targets", H.is_logged(10).alias("logged"), F.round("val_loss", 6).alias("val_loss"),
+        F.round("best_val_loss", 6).alias("best_val_loss"), "improved",
+    )

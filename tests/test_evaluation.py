@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexweave.constants import IGNORE_INDEX
 from lexweave.operators import lm_eval as E
-from lexweave.operators.ngram import NgramModel, ngram_rows, score_continuations
+from lexweave.operators.ngram import NgramModel, ngram_rows, score_continuations, target_rows
 from test_token_tables import stream
 
 
@@ -165,3 +165,42 @@ def test_continuations_condition_on_what_came_before(spark):
     empty = items.withColumn("candidate_ids", F.array().cast("array<int>"))
     with pytest.raises(Exception, match="cannot be empty"):
         score_continuations(empty, model, "idx").collect()
+
+
+def encoded_records(spark):
+    rows = [
+        (10, "a", 0, [5, 6, 7], [IGNORE_INDEX, 7, 2]),
+        (11, "a", 1, [5, 6], [IGNORE_INDEX, 2]),
+        (12, "a", 2, [8, 9, 5, 6], [IGNORE_INDEX, IGNORE_INDEX, 6, 2]),
+        (13, "b", 0, [4], [2]),
+        (14, "b", 1, [4, 4], [IGNORE_INDEX, IGNORE_INDEX]),
+    ]
+    return spark.createDataFrame(rows, "rec_id long, split string, rk long, tokens array<int>, targets array<int>")
+
+
+def test_target_rows_skip_masked_places(spark):
+    found = target_rows(encoded_records(spark), "rec_id").drop("pos")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(10, 5, 6, 7), (10, 6, 7, 2), (11, 5, 6, 2), (12, 9, 5, 6), (12, 5, 6, 2), (13, None, 4, 2)], key=str
+    )
+
+
+def test_response_losses_match_brute_force(spark):
+    table = np.log(np.random.default_rng(3).dirichlet(np.ones(10), size=10))
+    records = encoded_records(spark)
+    losses = E.response_losses(records, lambda: lambda ids: table[ids], 2, by=("split",), rows=2)
+    wanted = {}
+    for r in records.collect():
+        found = [-table[c, t] for c, t in zip(r.tokens, r.targets) if t != IGNORE_INDEX]
+        wanted.setdefault((r.split, r.rk // 2), []).extend(found)
+    got = {(r.split, r.batch_id): (r.n_targets, r.batch_loss) for r in E.batch_losses(losses, by=("split",)).collect()}
+    assert got.keys() == wanted.keys()
+    for key, found in wanted.items():
+        assert got[key] == (len(found), pytest.approx(np.mean(found)))
+    means = {r.split: (r.n_batches, r.mean_loss) for r in E.batch_mean_loss(losses, by=("split",)).collect()}
+    assert means["a"] == (2, pytest.approx(np.mean([np.mean(wanted["a", 0]), np.mean(wanted["a", 1])])))
+    first = E.batch_mean_loss(losses, max_batches=1, by=("split",)).collect()
+    assert {r.split: r.n_batches for r in first} == {"a": 1, "b": 1}
+    assert E.batch_losses(losses.filter("false")).count() == 0
+    with pytest.raises(ValueError, match="max_batches"):
+        E.batch_mean_loss(losses, max_batches=0)
