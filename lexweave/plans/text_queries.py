@@ -9,7 +9,7 @@ from ..functions import tokens as K
 from ..operators.choice_eval import select_subjects
 from ..session import fresh_path
 from ..sources import corpus, records, sinks
-from ..streaming.ingest import read_document_stream, start_story_ingest
+from ..streaming.ingest import read_document_stream, start_checked_ingest, start_story_ingest
 from . import sql as S
 from .merge_sql import WORDS
 from .views import dealt_documents, choice_records, documents, instruction_records, pseudo_scores
@@ -104,7 +104,22 @@ def prompts_normalize(spark, sf):
     )
     rows = documents(spark, sf).select(F.col("doc_id").alias("ord"), item.alias("value"))
     parsed = records.parse_prompts(rows, F.try_parse_json("value"), "ord", "completion")
-    return parsed.filter(F.col("error").isNull()).drop("error")
+    return records.require_prompts(parsed, "ord")
+
+
+@query(
+    "ordered_lines",
+    f"""with {S.INSTRUCT} select row_number() over (order by rec_id) - 1 as ord, rec_id, instruction, input, output
+        from instruct""",
+)
+def ordered_lines(spark, sf):
+    out = fresh_path(spark, "records")
+    rows = instruction_records(spark, sf)
+    sinks.write_json_records(rows, out, "rec_id", ["rec_id", "instruction", "input", "output"])
+    lines = records.read_ordered_json_lines(spark, sinks.current_version(spark, out)["path"])
+    item = F.try_parse_json("value")
+    given = lines.withColumn("rec_id", F.try_variant_get(item, "$.rec_id", "long"))
+    return records.parse_instruction_records(given, item, "ord", "rec_id")
 
 
 @query(
@@ -119,6 +134,34 @@ def stream_ingest(spark, sf):
     return corpus.read_documents(spark, f"{out}/data")
 
 
+#: Characters of the longest text the checked ingest takes.
+LONGEST = 2_000
+
+
+@query(
+    "stream_rejects",
+    f"""select doc_id, case when text is null then 'text_missing' when length(text) > {LONGEST} then 'text_too_long'
+          when n_chars is distinct from length(text) then 'n_chars_wrong' else '' end as rules,
+          case when length(text) > {LONGEST} or n_chars is distinct from length(text) then text
+            else trim(text, ' ' || chr(10)) end as text from documents
+        where text is null or length(text) > {LONGEST} or n_chars is distinct from length(text)
+          or length(trim(text, ' ' || chr(10))) > 0""",
+)
+def stream_rejects(spark, sf):
+    out = fresh_path(spark, "checked-ingest")
+    rules = [
+        *records.text_rules(),
+        ("text_too_long", F.length("text") > LONGEST),
+        ("n_chars_wrong", ~F.col("n_chars").eqNullSafe(F.length("text")) & (F.length("text") <= LONGEST)),
+    ]
+    stream = read_document_stream(spark, sf, pattern="documents.parquet")
+    start_checked_ingest(stream, f"{out}/data", f"{out}/rejects", f"{out}/checkpoint", rules).awaitTermination()
+    good = corpus.read_documents(spark, f"{out}/data").withColumn("rules", F.lit(""))
+    bad = spark.read.parquet(f"{out}/rejects").withColumn("rules", F.array_join("rules", ","))
+    names = ("doc_id", "rules", "text")
+    return good.select(*names).unionByName(bad.select(*names))
+
+
 # --- sinks ------------------------------------------------------------------------
 
 

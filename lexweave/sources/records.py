@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import is_blank
+from ..session import materialize
 
 
 class RecordError(ValueError):
@@ -19,6 +20,38 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.length("value") > 0)
 
 
+def read_ordered_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``path, position, ord, value``: JSON lines numbered from 0 in file and in all files.
+
+    ``position`` counts the non-empty lines of a file, ``ord`` those of all files in the order
+    of their paths, both whatever splits the files were read in. Lines are stored once with
+    their split and place in it; one row a split is added up and sent to all tasks, so that
+    part grows with the list of splits the driver plans anyway. A null line cannot occur;
+    folders without lines give no rows, repeated lines get numbers of their own.
+    """
+    lines = read_json_lines(spark, path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("__start"),
+        "value",
+    )
+    stored = materialize(lines.withColumn("__at", F.monotonically_increasing_id()), "json-lines")
+    splits = stored.groupBy("path", "__start").agg(
+        F.min("__at").alias("__first"), F.count("*").alias("__n")
+    )
+    before = Window.orderBy("path", "__start").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("path").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(
+        "path", "__start", "__first",
+        F.coalesce(F.sum("__n").over(own), F.lit(0)).alias("__in_file"),
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__in_all"),
+    )
+    place = F.col("__at") - F.col("__first")
+    return stored.join(F.broadcast(starts), ["path", "__start"]).select(
+        "path", (F.col("__in_file") + place).alias("position"),
+        (F.col("__in_all") + place).alias("ord"), "value",
+    )
+
+
 def read_json_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Items of the JSON arrays in each file, with their position in the file.
 
@@ -120,6 +153,17 @@ def parse_prompts(rows: DataFrame, item: Column, order: str, mode: str) -> DataF
     )
 
 
+def require_prompts(parsed: DataFrame, order: str) -> DataFrame:
+    """Parsed prompts without ``error``; fails on an empty list or on the first bad item."""
+    if parsed.isEmpty():
+        raise RecordError("prompt list is empty")
+    bad = parsed.filter(F.col("error").isNotNull())
+    first = bad.orderBy(order).select(F.col(order).alias("at"), "error").limit(1).collect()
+    if first:
+        raise RecordError(f"prompt item {first[0]['at']} {first[0]['error']}")
+    return parsed.drop("error")
+
+
 # --- validation ------------------------------------------------------------------
 
 
@@ -152,10 +196,16 @@ def choice_rules() -> list[tuple[str, Column]]:
     ]
 
 
+def broken_rules(rules: list[tuple[str, Column]]) -> Column:
+    """Names of the rules a record breaks, in their order; empty for a good record."""
+    return F.array_compact(
+        F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(n)) for n, bad in rules])
+    )
+
+
 def violations(df: DataFrame, key: str, rules: list[tuple[str, Column]]) -> DataFrame:
     """One row per broken rule: ``key, rule, message``."""
-    names = F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(n)) for n, bad in rules])
-    broken = df.select(key, F.explode(F.array_compact(names)).alias("rule"))
+    broken = df.select(key, F.explode(broken_rules(rules)).alias("rule"))
     return broken.withColumn(
         "message",
         F.concat(

@@ -102,6 +102,40 @@ def test_json_array_files(spark, tmp_path):
         records.read_json_arrays(spark, str(tmp_path / "b.json")).collect()
 
 
+def test_ordered_lines_do_not_depend_on_splits(spark, tmp_path):
+    wanted = {}
+    for name, n in (("b", 700), ("a", 1), ("c", 900)):
+        lines = [json.dumps({"prompt": f"{name} {i} " + "x" * (i * 37 % 200)}) for i in range(n)]
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(x + "\n" * (i % 3 == 0) for i, x in enumerate(lines)) + "\n")
+        wanted[name] = lines
+    flat = [(name, i, line) for name in sorted(wanted) for i, line in enumerate(wanted[name])]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1000", "7000", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = records.read_ordered_json_lines(spark, str(tmp_path)).orderBy("ord").collect()
+            assert [r.ord for r in rows] == list(range(len(flat)))
+            assert [(r.path[-7:-6], r.position, r.value) for r in rows] == flat
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "empty.jsonl").write_text("\n\n")
+    assert records.read_ordered_json_lines(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_bad_prompt_stops_the_job(spark):
+    def parsed(*items):
+        lines = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(items)], "ord BIGINT, value STRING")
+        return records.parse_prompts(lines, F.try_parse_json("value"), "ord", "completion")
+
+    good = records.require_prompts(parsed("one", {"id": "x", "prompt": "two"}), "ord")
+    assert [(r.id, r.prompt) for r in good.orderBy("ord").collect()] == [("prompt-1", "one"), ("x", "two")]
+    with pytest.raises(records.RecordError, match="prompt item 1 has an invalid id"):
+        records.require_prompts(parsed("one", {"id": "", "prompt": "two"}, 7), "ord")
+    with pytest.raises(records.RecordError, match="empty"):
+        records.require_prompts(parsed("one").limit(0), "ord")
+
+
 def test_prompt_lists(spark):
     items = ["Once upon a time", {"prompt": "p"}, {"id": "x", "prompt": "q"}, {"id": 3, "prompt": "q"}, {"id": "y", "prompt": " "}, 7]
     lines = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(items)], "ord BIGINT, value STRING")

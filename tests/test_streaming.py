@@ -1,5 +1,10 @@
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
 from lexweave.sources.corpus import non_empty_stories
-from lexweave.streaming.ingest import ingest_progress, read_document_stream, start_story_ingest
+from lexweave.sources.records import text_rules
+from lexweave.streaming.ingest import ingest_progress, read_document_stream, start_checked_ingest, start_story_ingest
 
 SCHEMA = "doc_id BIGINT, text STRING"
 
@@ -22,3 +27,29 @@ def test_streaming_equals_batch_and_runs_once(spark, docs_of, base):
     assert sorted(spark.read.parquet(f"{base}/out").collect()) == sorted(batch.collect())
     run()
     assert spark.read.parquet(f"{base}/out").count() == 9
+
+
+def test_rejects_land_once_also_after_a_replayed_batch(spark, docs_of, base):
+    texts = ["a ", None, "", "far too long", "b"]
+    for i in range(3):
+        rows = docs_of(texts)
+        rows.withColumn("doc_id", rows.doc_id + 10 * i).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    rules = [*text_rules(), ("text_too_long", F.length("text") > 5), ("text_with_blank", F.contains("text", F.lit(" far ")))]
+
+    def run():
+        stream = read_document_stream(spark, f"{base}/in", schema=SCHEMA, files_per_trigger=1)
+        start_checked_ingest(stream, f"{base}/good", f"{base}/bad", f"{base}/ck", rules).awaitTermination()
+        good = sorted(tuple(r) for r in spark.read.parquet(f"{base}/good").select("doc_id", "text").collect())
+        bad = spark.read.parquet(f"{base}/bad").orderBy("doc_id").collect()
+        return good, [(r.doc_id, r.text, r.rules) for r in bad], {r.batch_id for r in bad}
+
+    good = [(10 * i + k, t) for i in range(3) for k, t in ((0, "a"), (4, "b"))]
+    bad = [(10 * i + k, t, [r]) for i in range(3) for k, t, r in ((1, None, "text_missing"), (3, "far too long", "text_too_long"))]
+    assert run() == (good, bad, {0, 1, 2})
+    assert run() == (good, bad, {0, 1, 2})
+    # the last batch was written but not committed: it runs again
+    for name in ("2", ".2.crc"):
+        found = Path(base, "ck", "commits", name)
+        if found.exists():
+            found.unlink()
+    assert run() == (good, bad, {0, 1, 2})
