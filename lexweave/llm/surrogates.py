@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 
 KEY = "lexweave-surrogates"
-#: Tweaks that are tried; the last one gives names of as many syllables as the digest holds.
+#: Tweaks of the key that are tried.
 ROUNDS = 20
 
 #: Titles that show a person's gender.
@@ -21,15 +23,36 @@ _TITLES = f"(?:{_TITLE} )+"
 #: A word with inner capitals, apostrophes and hyphens, or an initial; a possessive s is not part of it.
 _NAME_WORD = rf"(?!{_TITLE} )(?:\p{{Lu}}\.|\p{{Lu}}[\p{{L}}\p{{M}}]*+(?:-[\p{{L}}\p{{M}}]++|['’](?:\p{{Lu}}[\p{{L}}\p{{M}}]*+|[\p{{Ll}}\p{{M}}]{{3,}}+))*+)"
 _PARTICLE = "(?:van|von|der|den|de|del|della|di|da|du|dos|la|le|ter|zu)"
+#: Words of names that are replaced without their title only as part of the whole name: fixed values.
+ORDINARY = (
+    "April May June August March Monday Friday Sunday Summer Winter Spring Rose Lily Daisy Grace Hope Faith Joy Will "
+    "Mark Bill Rich Grant Chase Art Dean Earl Duke Prince Pope Bishop King Queen Knight Page Major Black White Brown "
+    "Green Gray Grey Gold Silver Young Old Long Short Little Small Large Strong Wise Good Best Sharp Hill Wood Woods "
+    "Forest Field Fields Stone Rivers Lake Banks Bush Park Church House Street West North South East Bird Fox Wolf Lamb "
+    "Bull Fish Rice Bell Ball Bond Price Love Power Day Moon Star Snow Frost Rain The A An In On At And But He She It"
+).split()
+#: Countries that issue IBANs.
+_IBAN_COUNTRY = (
+    "(?:AD|AE|AL|AT|AZ|BA|BE|BG|BH|BR|BY|CH|CR|CY|CZ|DE|DK|DO|EE|EG|ES|FI|FO|FR|GB|GE|GI|GL|GR|GT|HR|HU|IE|IL|IQ|IS|IT|JO|"
+    "KW|KZ|LB|LC|LI|LT|LU|LV|LY|MC|MD|ME|MK|MR|MT|MU|NL|NO|PK|PL|PS|PT|QA|RO|RS|SA|SC|SE|SI|SK|SM|ST|SV|TL|TN|TR|UA|VA|VG|XK)"
+)
+_IBAN = rf"(?![0-9A-F]{{32,}}(?![A-Za-z0-9_])){_IBAN_COUNTRY}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{0,2}}[0-9])?"
+#: Letters of addresses: Latin, Greek and Cyrillic; scripts without blanks between words would run into them.
+_W = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0370-\u03ff\u0400-\u052f"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 #: Type, what finds it in a text, and what tells it from the other types, in order.
 TYPES = [
     (
         "email",
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+        rf"(?<![{_W}0-9._%+-])[{_W}0-9._%+-]++@[{_W}0-9-]+(?:\.[{_W}0-9-]+)*\.[{_W}]{{2,}}",
         "@",
     ),
+    (
+        "iban",
+        rf"(?<![A-Za-z0-9_]){_IBAN}(?![A-Za-z0-9_])",
+        rf"^{_IBAN}$",
+    ),
     (
         "secret",
         r"(?<![A-Za-z0-9_])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|(?:ghp_|sk-)[A-Za-z0-9]{20,}+)(?![A-Za-z0-9_])",
@@ -40,7 +63,7 @@ TYPES = [
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
     (
         "phone",
-        r"(?:(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}|(?<![0-9(+-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9])",
+        r"(?:(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}|(?<![0-9(+-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}|(?<![0-9.,(+-])0[1-9][0-9]{1,3}[ -][0-9]{3,4}[ -]?[0-9]{3,4})(?![0-9])",
         r"^[+(0-9]",
     ),
     ("name", rf"(?<!\p{{L}}){_TITLES}{_NAME_WORD}(?:(?: {_PARTICLE})* {_NAME_WORD})*+", r"^\p{L}"),
@@ -53,30 +76,75 @@ _HINT = rf"[0-9]{{2}}|[0-9]\.[0-9]|@|(?:AKIA|ghp_|sk-)|[0-9A-Fa-f]{{32}}|{_TITLE
 _DIGITS, _LETTERS, _HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
 
 
+def _cased(first: int, last: int) -> list[str]:
+    """Lower-case letters of a range that a capital stands for, one to one."""
+    found = map(chr, range(first, last + 1))
+    return [c for c in found if len(c.upper()) == 1 and c.upper() != c and c.upper().lower() == c]
+
+
+def _sounds(letters: list[str], vowels: str) -> list[str]:
+    """Consonants and vowels, by the letter without its marks."""
+    is_vowel = [unicodedata.normalize("NFD", c)[0] in vowels for c in letters]
+    return ["".join(c for c, v in zip(letters, is_vowel) if v == want) for want in (False, True)]
+
+
+#: Letters that take each other's place in names, by script and sound.
+_SOUNDS = [
+    *_sounds(_cased(0x61, 0x7A), "aeiouy"),
+    *_sounds(_cased(0xDF, 0x17F), "aeiouyæœø"),
+    *_sounds(_cased(0x430, 0x44F), "аеиоуыэюя"),
+    *_sounds(_cased(0x3AC, 0x3CE), "αεηιουω"),
+    # rarer letters of these, Armenian, Georgian, Cherokee
+    *map("".join, (
+        _cased(0x180, 0x24F) + _cased(0x1E00, 0x1EFF), _cased(0x450, 0x52F), _cased(0x370, 0x3AB) + _cased(0x3CF, 0x3FF) + _cased(0x1F00, 0x1FFF),
+        _cased(0x561, 0x586), _cased(0x10D0, 0x10FF), _cased(0xAB70, 0xABBF),
+    )),
+]
+#: Endings of given names by script and gender.
+_ENDINGS = {
+    r"\p{IsCyrillic}": {"f": "на", "m": "рд", "n": "л"},
+    r"\p{IsGreek}": {"f": "να", "m": "ος", "n": "λ"},
+    r"\p{IsArmenian}": {"f": "նա", "m": "րդ", "n": "լ"},
+    "": {"f": "na", "m": "rd", "n": "l"},
+}
+
+
 def _number(key: Column) -> Column:
     """28 bits of the key's SHA-256, as a number."""
     return F.conv(F.substring(F.sha2(key.cast("binary"), 256), 1, 7), 16, 10).cast("bigint")
 
 
-def _chain(chars: Column, seed: Column, alphabets: list[str]) -> Column:
+def _place(c: Column, alphabets: list[str]) -> tuple[Column, Column, Column]:
+    """Where a character stands in the joined alphabets, 0 if nowhere, where its own starts and its size."""
+    at = F.instr(F.lit("".join(alphabets)), c)
+    starts = [sum(map(len, alphabets[:i])) for i in range(len(alphabets))]
+    # one flat choice: nested ones take the analyser a time that doubles with each level
+    first, size = F, F
+    for start, alphabet in zip(starts, alphabets):
+        within = at <= start + len(alphabet)
+        first, size = first.when(within, start), size.when(within, len(alphabet))
+    return at, first, size
+
+
+def _turned(at: Column, first: Column, size: Column, shift: Column, alphabets: list[str]) -> Column:
+    """The character ``shift`` places on in its alphabet."""
+    return F.substring(F.lit("".join(alphabets)), (first + F.pmod(at - 1 - first + shift, size) + 1).cast("int"), F.lit(1))
+
+
+def _chain(chars: Column, seed: Column, alphabets: list[str], undo: bool = False) -> Column:
     """Each character of an alphabet moves by a keyed amount that all characters before decide.
 
     Others stay and decide nothing. Undone character by character, so different inputs of one
-    shape have different outputs.
+    shape have different outputs. ``undo`` takes the outputs and gives the inputs.
     """
 
     def step(state: Column, c: Column) -> Column:
+        at, first, size = _place(c, alphabets)
         shift = _number(F.concat(seed, state["past"]))
-        moved = c
-        inside = F.lit(False)
-        for alphabet in alphabets:
-            at = F.instr(F.lit(alphabet), c)
-            turned = F.substring(F.lit(alphabet), ((at - 1 + shift) % len(alphabet) + 1).cast("int"), 1)
-            moved = F.when(at > 0, turned).otherwise(moved)
-            inside = inside | (at > 0)
+        moved = F.when(at > 0, _turned(at, first, size, -shift if undo else shift, alphabets)).otherwise(c)
         return F.struct(
             F.concat(state["done"], F.array(moved)).alias("done"),
-            F.when(inside, F.concat(state["past"], c)).otherwise(state["past"]).alias("past"),
+            F.when(at > 0, F.concat(state["past"], moved if undo else c)).otherwise(state["past"]).alias("past"),
         )
 
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("past"))
@@ -104,10 +172,32 @@ def _permuted(text: Column, seed: Column, alphabets: list[str]) -> Column:
     return F.array_join(F.reverse(back), "")
 
 
+def _displaced(text: Column, seed: Column, alphabets: list[str]) -> Column:
+    """A keyed permutation of the texts of one shape that leaves none with a letter of an alphabet as it is.
+
+    The text's permutation has its first such letter moved on by one and is then undone.
+    """
+    before, after = F.concat(seed, F.lit(">")), F.concat(seed, F.lit("<"))
+    mixed = F.split(_permuted(text, seed, alphabets), "")
+
+    def step(s: Column, c: Column) -> Column:
+        at, first, size = _place(c, alphabets)
+        here = (at > 0) & ~s["moved"]
+        return F.struct(
+            F.concat(s["done"], F.array(F.when(here, _turned(at, first, size, F.lit(1), alphabets)).otherwise(c))).alias("done"),
+            (s["moved"] | here).alias("moved"),
+        )
+
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(False).alias("moved"))
+    next_one = F.aggregate(mixed, start, step, lambda s: s["done"])
+    ahead = F.reverse(_chain(F.reverse(next_one), after, alphabets, undo=True))
+    return F.array_join(_chain(ahead, before, alphabets, undo=True), "")
+
+
 def _shaped(original: Column, plain: Column) -> Column:
     """The characters of ``plain``, upper case where the original is."""
     pairs = F.arrays_zip(F.split(original, "").alias("o"), F.split(plain, "").alias("p"))
-    return F.array_join(F.transform(pairs, lambda z: F.when(z["o"].rlike("[A-Z]"), F.upper(z["p"])).otherwise(z["p"])), "")
+    return F.array_join(F.transform(pairs, lambda z: F.when(z["o"].rlike(r"\p{Lu}"), F.upper(z["p"])).otherwise(z["p"])), "")
 
 
 def _refilled(original: Column, digits: Column) -> Column:
@@ -161,55 +251,75 @@ def _gender(entity: Column) -> Column:
     return gender
 
 
-def _code(phone: Column) -> Column:
-    """A phone number's country code, which stays."""
-    return F.regexp_extract(phone, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
-
+#: Country codes after a plus sign, by their first digits: fixed values. All others have three digits.
+_COUNTRY = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
-def _invented(word: Column, part: Column, gender: Column, seed: Column, tweak: int) -> Column:
-    """A name of keyed syllables in the word's script; a given name ends as its gender does."""
-    digest = F.sha2(F.concat(seed, part, F.lit("|"), F.lower(word)).cast("binary"), 256)
-    latin = ("bdfghklmnprstvwz", "aeiou", {"f": "na", "m": "rd", "n": "l"})
-    cyrillic = ("бвгдзклмнпрстфхш", "аеиоу", {"f": "на", "m": "рд", "n": "л"})
 
-    def spelled(consonants: str, vowels: str, ends: dict[str, str]) -> Column:
-        out = []
-        for i in range(2 + tweak):
-            n = F.conv(F.substring(digest, 1 + 3 * i, 3), 16, 10).cast("int")
-            out.append(F.substring(F.lit(consonants), n % 16 + 1, F.lit(1)))
-            out.append(F.substring(F.lit(vowels), F.floor(n / 16).cast("int") % 5 + 1, F.lit(1)))
-        end = F.lit(ends["n"])
-        for g, e in ends.items():
-            end = F.when((gender == g) & (part == "given"), e).otherwise(end)
-        text = F.concat(*out, end)
-        return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, 2, 200))
+def _code(phone: Column) -> Column:
+    """The digits of a phone number's country code, which stay; separators do not matter."""
+    return F.regexp_extract(F.regexp_replace(phone, "[^0-9+]", ""), _COUNTRY, 1)
 
-    return F.when(word.rlike(r"\p{IsCyrillic}"), spelled(*cyrillic)).otherwise(spelled(*latin))
 
+def _new_words(words: Column, gender: Column, seed: Column) -> Column:
+    """New words of the old ones' shape: letters change within script and sound, capitals stay.
 
-def _new_words(words: Column, gender: Column, seed: Column, tweak: int) -> Column:
-    """Given names but for the last word, the family name; initials stay initials, particles stay."""
+    The last word is the family name; words before are given names and end as the gender does.
+    Initials stay initials, particles stay.
+    """
 
     def new(word: Column, i: Column) -> Column:
-        part = F.when(i == F.size(words) - 1, "family").otherwise("given")
-        initial = F.concat(F.upper(_permuted(F.lower(F.substring(word, 1, 1)), F.concat(seed, F.lit("initial")), [_LETTERS])), F.substring(word, 2, 1))
-        return (
-            F.when(word.rlike(rf"^{_PARTICLE}$"), word).when(word.rlike(r"^[A-Z]\.?$"), initial)
-            .otherwise(_invented(word, part, gender, seed, tweak))
-        )
+        family, initial = i == F.size(words) - 1, word.rlike(r"^\p{Lu}\.?$")
+        part = F.when(initial, "initial").when(family, "family||").otherwise(F.concat(F.lit("given|"), gender, F.lit("|")))
+        made = _shaped(word, _displaced(F.lower(word), F.concat(seed, part), _SOUNDS))
+        ending = F
+        for script, ends in _ENDINGS.items():
+            ending = ending.when(word.rlike(script), F.when(gender == "f", ends["f"]).when(gender == "m", ends["m"]).otherwise(ends["n"]))
+        ending = F.when(initial | family, "").when(word == F.upper(word), F.upper(ending)).otherwise(ending)
+        return F.when(word.rlike(rf"^{_PARTICLE}$"), word).otherwise(F.concat(made, ending))
 
     return F.transform(words, new)
 
 
+def _ninety_seven(letters: Column) -> Column:
+    """A text of digits and capitals, A as 10 to Z as 35, modulo 97."""
+
+    def step(rest: Column, c: Column) -> Column:
+        number = F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+        return (rest * F.when(number > 9, 100).otherwise(10) + number) % 97
+
+    return F.aggregate(F.split(letters, ""), F.lit(0), step)
+
+
+def _new_iban(entity: Column, seed: Column) -> Column:
+    """Country, blanks and the remainder modulo 97 stay; the account's digits and letters are permuted."""
+    plain = F.replace(entity, F.lit(" "), F.lit(""))
+    account = F.substring(plain, F.lit(5), F.char_length(plain))
+    fresh = F.upper(_permuted(F.lower(account), seed, [_DIGITS, _LETTERS]))
+    place = lambda a, check: F.concat(a, F.substring(plain, 1, 2), check)
+    rest = _ninety_seven(place(account, F.substring(plain, 3, 2)))
+    check = F.pmod(rest - _ninety_seven(place(fresh, F.lit("00"))) - 2, F.lit(97)) + 2
+    # check digits are issued from 02 to 98; others stay, so different accounts stay different
+    old = F.substring(plain, 3, 2)
+    check = F.when(old.isin("00", "01", "99"), old).otherwise(F.lpad(check.cast("string"), 2, "0"))
+    chars = F.split(F.concat(F.substring(plain, 1, 2), check, fresh), "")
+    state = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
+    return F.aggregate(F.split(entity, ""), state, lambda s, c: F.struct(
+        F.concat(s["text"], F.when(c == " ", c).otherwise(F.get(chars, s["at"]))).alias("text"),
+        (s["at"] + F.when(c == " ", 0).otherwise(1)).alias("at"),
+    ), lambda s: s["text"])
+
+
 def canonical(entity: Column, kind: Column) -> Column:
     """What makes two mentions the same: digits of numbers, lower case of addresses and names."""
     number = kind.isin("card", "ssn")
-    words = F.lower(F.array_join(_name_words(entity), " "))
+    # a particle is a word of its own, apart from the same word with a capital
+    words = F.array_join(F.transform(_name_words(entity), lambda w: F.when(w.rlike(rf"^{_PARTICLE}$"), F.concat(w, F.lit("~"))).otherwise(F.lower(w))), " ")
     # a family name alone has one surrogate for all titles
     name = F.when(F.size(_name_words(entity)) > 1, F.concat(_gender(entity), F.lit("|"), words)).otherwise(words)
-    phone = F.concat(_code(entity), F.lit(" "), F.substring(_digits(entity), F.char_length(_digits(_code(entity))) + 1, F.lit(99)))
+    phone = F.concat(_code(entity), F.lit(" "), F.substring(_digits(entity), F.char_length(_code(entity)) + 1, F.lit(99)))
     return (
-        F.when(number, _digits(entity)).when(kind == "phone", phone).when(kind == "name", name).otherwise(F.lower(entity))
+        F.when(number, _digits(entity)).when(kind == "phone", phone).when(kind == "name", name)
+        .when(kind == "iban", F.replace(entity, F.lit(" "), F.lit(""))).otherwise(F.lower(entity))
     )
 
 
@@ -217,17 +327,19 @@ def surrogate(entity: Column, kind: Column, key: str = KEY, tweak: int = 0) -> C
     """The replacement of one mention.
 
     Addresses, numbers and secrets are permuted by a key among the strings of their shape, so
-    different ones stay different; separators, letter case, the country code of a phone and the
-    Luhn remainder of a card stay. Domains are permuted by themselves, so addresses of one
-    domain share one. Names get syllables of their script, an ending of their title's gender,
-    the same word always the same; initials and particles stay such; more syllables with each tweak.
+    different ones stay different; separators, letter case, the country code of a phone, the
+    Luhn remainder of a card and the country and remainder of an IBAN stay. Domains are permuted
+    by themselves, so addresses of one domain share one. Words of names are permuted within
+    script, vowels and consonants, none stays as it is, and given names get an ending of their
+    title's gender; the same word always becomes the same; initials and particles stay such.
     """
     seed = F.lit(f"{key}|{tweak}|")
     low = F.lower(entity)
     own = lambda kind_: F.concat(seed, F.lit(kind_))
     alnum = [_DIGITS, _LETTERS]
     local, domain = F.substring_index(low, "@", 1), F.substring_index(low, "@", -1)
-    email = F.concat(_permuted(local, own("local"), alnum), F.lit("@"), _permuted(domain, own("domain"), alnum))
+    letters = [*alnum, *_SOUNDS[2:]]
+    email = F.concat(_permuted(local, own("local"), letters), F.lit("@"), _permuted(domain, own("domain"), letters))
     secret = F.when(low.rlike("^[0-9a-f]+$"), _permuted_blocks(low, own("hex"), [_HEX])).otherwise(_permuted_blocks(low, own("key"), alnum))
 
     octets = F.transform(F.split(entity, r"\."), lambda x: x.cast("int"))
@@ -248,16 +360,16 @@ def surrogate(entity: Column, kind: Column, key: str = KEY, tweak: int = 0) -> C
     card = _refilled(entity, F.concat(fresh, F.pmod(check, F.lit(10)).cast("string")))
     ssn = _refilled(entity, _permuted(digits, own("ssn"), [_DIGITS]))
     code = _code(entity)
-    rest = F.substring(entity, F.char_length(code) + 1, F.lit(99))
-    phone = F.concat(code, _refilled(rest, _permuted(_digits(rest), own("phone"), [_DIGITS])))
+    rest = F.substring(digits, F.char_length(code) + 1, F.lit(99))
+    phone = _refilled(entity, F.concat(code, _permuted(rest, own("phone"), [_DIGITS])))
 
     words, gender = _name_words(entity), _gender(entity)
-    name = F.concat(_title(entity), F.array_join(_new_words(words, gender, own("name"), tweak), " "))
+    name = F.concat(_title(entity), F.array_join(_new_words(words, gender, own("name")), " "))
 
     return (
         F.when(kind == "email", _shaped(entity, email))
         .when(kind == "secret", F.when(entity.rlike("[a-z]"), _shaped(entity, secret)).otherwise(F.upper(secret)))
-        .when(kind == "ip", ip).when(kind == "card", card).when(kind == "ssn", ssn)
+        .when(kind == "iban", _new_iban(entity, own("iban"))).when(kind == "ip", ip).when(kind == "card", card).when(kind == "ssn", ssn)
         .when(kind == "phone", phone).otherwise(name)
     )
 
@@ -269,12 +381,15 @@ def entities(text: Column) -> Column:
 
 
 def collisions(found: DataFrame, key: str, tweak: int) -> tuple[int, int]:
-    """Of distinct entities: surrogates that two of them share, and entities left as they are."""
-    made = found.select("kind", "canonical", F.lower(surrogate(F.col("entity"), F.col("kind"), key, tweak)).alias("s"), F.lower("entity").alias("e"))
-    made = made.withColumn("same", F.when(F.col("kind").isin("card", "ssn", "phone"), _digits(F.col("s"))).when(F.col("kind") == "name", F.regexp_replace("s", f"(?i)^{_TITLES}", "")).otherwise(F.col("s")))
-    shared = made.groupBy("kind", "same").agg(F.count_distinct("canonical").alias("n"))
-    row = shared.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")).first()
-    return row["n"], made.filter("s = e").count()
+    """Of distinct entities: surrogates that two of them share, and entities left as they are. One pass."""
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = found.repartition(parts, "canonical").select("kind", "canonical", surrogate(F.col("entity"), F.col("kind"), key, tweak).alias("s"))
+    made = made.select("kind", "canonical", canonical(F.col("s"), F.col("kind")).alias("same"))
+    shared = made.groupBy("kind", "same").agg(
+        (F.count_distinct("canonical") - 1).alias("n"), F.max((F.col("same") == F.col("canonical")).cast("int")).alias("kept")
+    )
+    row = shared.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("kept"), F.lit(0)).alias("kept")).first()
+    return row["n"], row["kept"]
 
 
 def choose_tweak(docs: DataFrame, text: str = "text", key: str = KEY) -> int:
@@ -299,17 +414,22 @@ def choose_tweak(docs: DataFrame, text: str = "text", key: str = KEY) -> int:
 
 
 def _bare(found: Column, key: str, tweak: int) -> Column:
-    """What titled names of a text are without the title, ``bare, new``: whole names and single words, longer ones first."""
+    """What titled names of a text are without the title, ``bare, new``: whole names and single words, longer ones first.
+
+    Single words that are ordinary words too (``ORDINARY``) are only part of whole names.
+    """
     seed = F.lit(f"{key}|{tweak}|name")
     titled = F.transform(F.filter(found, lambda m: m["kind"] == "name"), lambda m: m["entity"])
 
     def forms(entity: Column) -> Column:
         words = _name_words(entity)
-        new = _new_words(words, _gender(entity), seed, tweak)
-        singles = F.zip_with(words, new, lambda w, n: F.struct(w.alias("bare"), n.alias("new")))
-        singles = F.filter(singles, lambda z: z["bare"].rlike(r"^\p{Lu}.*[^.]$"))
-        whole = F.struct(F.array_join(words, " ").alias("bare"), F.array_join(new, " ").alias("new"))
-        return F.concat(F.array(whole), F.reverse(singles))
+        whole = lambda new: F.struct(F.array_join(words, " ").alias("bare"), F.array_join(new, " ").alias("new"))
+        single = lambda new: F.filter(
+            F.zip_with(words, new, lambda w, n: F.struct(w.alias("bare"), n.alias("new"))),
+            lambda z: z["bare"].rlike(r"^\p{Lu}.*[^.]$") & ~z["bare"].isin(ORDINARY),
+        )
+        both = lambda new: F.concat(F.filter(F.array(whole(new)), lambda z: F.size(words) > 1), F.reverse(single(new)))
+        return F.flatten(F.transform(F.array(_new_words(words, _gender(entity), seed)), both))
 
     pairs = F.flatten(F.transform(titled, forms))
     length = lambda z: F.char_length(z["bare"])

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 import zlib
@@ -217,6 +218,121 @@ def test_surrogates_are_distinct(spark):
     assert other != new
 
 
+def test_surrogates_keep_letter_case_and_script(spark):
+    texts = ["Dr SMITH came", "Dr Smith came", "Dr Παπαδόπουλος came", "Mrs ANNA Петрова came", "Mr Ж. Կարապետյան came"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r.text for r in surrogates.replace_entities(docs).orderBy("doc_id").collect()]
+    words = [re.fullmatch(r"(?:Dr|Mrs|Mr) (.+) came", n).group(1) for n in new]
+    assert words[0].isupper() and words[0] == words[1].upper() != "SMITH" and words[1].istitle()
+    assert re.fullmatch("[Α-Ω][α-ωά-ώ]{11}", words[2]) and words[2] != "Παπαδόπουλος"
+    assert re.fullmatch("[A-Z]{4}NA [А-Я][а-я]{6}", words[3]) and "Петрова" not in words[3]
+    assert re.fullmatch("[А-ЯЀ-ԯ]\\. [Ա-Ֆ][ա-ֆ]{9}", words[4])
+
+
+def test_phones_agree_whatever_their_separators(spark):
+    texts = ["+1 234 567 8901 or +12345678901", "+442071838750 or +44 20 7183 8750", "020 7183 8750", "07911 123456", "+420-601-123-456"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r.text for r in surrogates.replace_entities(docs).orderBy("doc_id").collect()]
+    for i, code in ((0, "1"), (1, "44")):
+        a, b = (re.sub(r"\D", "", n) for n in new[i].split(" or "))
+        assert a == b and a.startswith(code) and a != re.sub(r"\D", "", texts[i].split(" or ")[0])
+    assert re.fullmatch(r"\+420-\d{3}-\d{3}-\d{3}", new[4])
+    assert [re.sub(r"\d", "9", n) for n in new] == [re.sub(r"\d", "9", t) for t in texts] and not set(new) & set(texts)
+
+
+def test_ordinary_words_stay_beside_names(spark):
+    texts = ["Mr May came in May", "The Mr Brown bread is Brown", "Mr Ada May met Ada May and Ada in May", "Mr Novak and Novak"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r.text for r in surrogates.replace_entities(docs).orderBy("doc_id").collect()]
+    assert re.fullmatch(r"Mr (?!May)\w+ came in May", new[0]) and re.fullmatch(r"The Mr (?!Brown)\w+ bread is Brown", new[1])
+    assert re.fullmatch(r"Mr (\w+) (\w+) met \1 \2 and \1 in May", new[2]) and "Ada" not in new[2]
+    assert re.fullmatch(r"Mr (\w+) and \1", new[3])
+
+
+def ninety_seven(iban):
+    plain = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def test_ibans_and_addresses_of_other_scripts(spark):
+    texts = ["DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "GB98 NWBK 6016 1331 9268 19", "GB01 NWBK 6016 1331 9268 19",
+             "jürgen@exämple.de", "иван@пример.рф", "联系ann@mail.org谢谢"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = surrogates.surrogate_report(docs).orderBy("doc_id").collect()
+    new = [r.text for r in rows]
+    assert all(r.n_entities == 1 for r in rows) and [r.n_iban for r in rows] == [1, 1, 1, 1, 0, 0, 0]
+    assert [ninety_seven(n) for n in new[:3]] == [ninety_seven(t) for t in texts[:3]] and ninety_seven(new[0]) == 1
+    for old, n in zip(texts[:4], new):
+        assert n != old and n[:2] == old[:2] and re.sub("[A-Z]", "A", re.sub(r"\d", "9", n)) == re.sub("[A-Z]", "A", re.sub(r"\d", "9", old))
+    assert len({n.replace(" ", "") for n in new[1:4]}) == 3
+    assert not re.search("jürgen|exämple", new[4]) and re.fullmatch("[а-яѐ-ԯ]+@[а-яѐ-ԯ]+\\.[а-яѐ-ԯ]+", new[5]) and new[5] != texts[5]
+    assert re.fullmatch("联系[a-z]{3}@[a-z]{4}\\.[a-z]{3}谢谢", new[6])
+
+
+def slow_shift(seed, past):
+    return int(hashlib.sha256((seed + past).encode()).hexdigest()[:7], 16)
+
+
+def slow_chain(chars, seed, sets, undo=False):
+    out, past = "", ""
+    for c in chars:
+        letters = next((s for s in sets if c in s), None)
+        if letters is None:
+            out += c
+            continue
+        shift = slow_shift(seed, past)
+        new = letters[(letters.index(c) + (-shift if undo else shift)) % len(letters)]
+        out, past = out + new, past + (new if undo else c)
+    return out
+
+
+def slow_permuted(text, seed, sets):
+    return slow_chain(slow_chain(text, seed + ">", sets)[::-1], seed + "<", sets)[::-1]
+
+
+def slow_displaced(text, seed, sets):
+    mixed = list(slow_permuted(text, seed, sets))
+    for i, c in enumerate(mixed):
+        letters = next((s for s in sets if c in s), None)
+        if letters:
+            mixed[i] = letters[(letters.index(c) + 1) % len(letters)]
+            break
+    return slow_chain(slow_chain("".join(mixed)[::-1], seed + "<", sets, True)[::-1], seed + ">", sets, True)
+
+
+def test_surrogates_match_a_slow_version(spark):
+    digits, latin = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    rng = random.Random(3)
+    mails = ["".join(rng.choices(latin + digits, k=rng.randint(1, 9))) + "@a" + rng.choice("xyz") + ".org" for _ in range(60)]
+    phones = [f"+49 {rng.randint(100, 999)} {rng.randint(1000, 9999)} {rng.randint(1000, 9999)}" for _ in range(60)]
+    names = ["Mr " + "".join(rng.choices(latin, k=rng.randint(2, 7))).capitalize() for _ in range(60)]
+    texts = sorted({*mails, *phones, *names})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    key = f"k|{surrogates.choose_tweak(docs, key='k')}|"
+    sounds = ["bcdfghjklmnpqrstvwxz", "aeiouy"]
+    for r in surrogates.replace_entities(docs, key="k").collect():
+        old = texts[r.doc_id]
+        if "@" in old:
+            local, domain = old.split("@")
+            want = slow_permuted(local, key + "local", [digits, latin]) + "@" + slow_permuted(domain, key + "domain", [digits, latin])
+        elif old[0] == "+":
+            rest = iter(slow_permuted(re.sub(r"\D", "", old)[2:], key + "phone", [digits]))
+            want = old[:3] + "".join(next(rest) if c.isdigit() else c for c in old[3:])
+        else:
+            want = "Mr " + slow_displaced(old[3:].lower(), key + "namefamily||", sounds).capitalize()
+        assert r.text == want, old
+
+
+def test_names_of_one_shape_stay_apart_and_change(spark):
+    # all 2 * 20 * 6 short names: a permutation that leaves none as it is
+    names = [a + b for a in "BCDFGHJKLMNPQRSTVWXZ" for b in "aeiouy"] + [a + b for a in "AEIOUY" for b in "bcdfghjklmnpqrstvwxz"]
+    docs = spark.createDataFrame(list(enumerate(f"Mr {n} was here" for n in names)), "doc_id long, text string")
+    rows = surrogates.replace_entities(docs).orderBy("doc_id").collect()
+    new = [r.text.split()[1] for r in rows]
+    assert sorted(new) == sorted(names) and all(a != b for a, b in zip(names, new))
+    assert surrogates.choose_tweak(docs) == 0
+
+
 def test_surrogates_of_odd_rows(odd_docs, no_docs):
     rows = surrogates.replace_entities(odd_docs)
     assert rows.columns == odd_docs.columns and rows.count() == odd_docs.count()
