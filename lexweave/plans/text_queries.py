@@ -9,10 +9,10 @@ from ..functions import tokens as K
 from ..operators.choice_eval import select_subjects
 from ..session import fresh_path
 from ..sources import corpus, records, sinks
-from ..streaming.ingest import read_document_stream, start_checked_ingest, start_story_ingest
+from ..streaming.ingest import start_checked_ingest, start_story_ingest
 from . import sql as S
 from .merge_sql import WORDS
-from .views import dealt_documents, choice_records, documents, instruction_records, pseudo_scores
+from .views import choice_records, dealt_documents, document_stream, documents, instruction_records, pseudo_scores
 
 QUERIES, ORACLES = {}, {}
 
@@ -129,7 +129,7 @@ def ordered_lines(spark, sf):
 )
 def stream_ingest(spark, sf):
     out = fresh_path(spark, "ingest")
-    stream = read_document_stream(spark, sf, pattern="documents.parquet")
+    stream = document_stream(spark, sf)
     start_story_ingest(stream, f"{out}/data", f"{out}/checkpoint").awaitTermination()
     return corpus.read_documents(spark, f"{out}/data")
 
@@ -154,7 +154,7 @@ def stream_rejects(spark, sf):
         ("text_too_long", F.length("text") > LONGEST),
         ("n_chars_wrong", ~F.col("n_chars").eqNullSafe(F.length("text")) & (F.length("text") <= LONGEST)),
     ]
-    stream = read_document_stream(spark, sf, pattern="documents.parquet")
+    stream = document_stream(spark, sf)
     start_checked_ingest(stream, f"{out}/data", f"{out}/rejects", f"{out}/checkpoint", rules).awaitTermination()
     good = corpus.read_documents(spark, f"{out}/data").withColumn("rules", F.lit(""))
     bad = spark.read.parquet(f"{out}/rejects").withColumn("rules", F.array_join("rules", ","))

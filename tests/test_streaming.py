@@ -2,7 +2,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from lexweave.sources.corpus import non_empty_stories
+from lexweave.sources.corpus import DOCUMENT_SCHEMA, non_empty_stories
 from lexweave.sources.records import text_rules
 from lexweave.streaming.ingest import ingest_progress, read_document_stream, start_checked_ingest, start_story_ingest
 
@@ -53,3 +53,22 @@ def test_rejects_land_once_also_after_a_replayed_batch(spark, docs_of, base):
         if found.exists():
             found.unlink()
     assert run() == (good, bad, {0, 1, 2})
+
+
+def test_the_documents_table_streams_as_a_file_and_as_a_folder(spark, tmp_path):
+    from lexweave.plans.text_queries import QUERIES
+
+    rows = spark.createDataFrame(
+        [(1, " a\n", "en", "s", 3), (2, None, "en", "s", 0), (3, "bb", "en", "s", 9)], DOCUMENT_SCHEMA
+    )
+    folder, file = tmp_path / "folder", tmp_path / "file"
+    rows.repartition(2).write.parquet(str(folder / "documents.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    file.mkdir()
+    next((tmp_path / "one").glob("part-*")).rename(file / "documents.parquet")
+    for base in (folder, file):
+        checked = QUERIES["stream_rejects"](spark, str(base)).collect()
+        assert {(r.doc_id, r.rules, r.text) for r in checked} == {
+            (1, "", "a"), (2, "text_missing", None), (3, "n_chars_wrong", "bb")
+        }
+        assert {r.doc_id for r in QUERIES["stream_ingest"](spark, str(base)).collect()} == {1, 3}
