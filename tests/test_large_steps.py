@@ -52,13 +52,14 @@ def test_neighbouring_windows_travel_together(spark, docs_of):
 
 def test_a_record_is_fitted_and_encoded_once(spark):
     rows = spark.createDataFrame(
-        [(1, "do", "ab<eos>" * 400, "yes"), (2, "do", "é" * 900, "n" * 900), (3, "do", "", "")],
+        [(1, "do", "ab<eos>" * 400, "yes"), (2, "do", "é" * 900, "n" * 900), (3, "do", "", ""), (4, None, "x", "y")],
         "rec_id BIGINT, instruction STRING, input STRING, output STRING",
     )
     coded = I.encode_records(rows, Vocabulary(), 400)
     kept = coded.filter("outcome = 'kept'").select("rec_id", F.posexplode("targets"))
     assert plan_of(kept).count("aggregate(") <= 1
     found = {r.rec_id: r for r in coded.collect()}
+    assert found[4].outcome == "prompt_too_long"
     assert found[3].outcome == "empty_response" and found[3].tokens is None
     assert all(len(found[i].tokens) == len(found[i].targets) <= 400 and found[i].input_truncated for i in (1, 2))
 
