@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..constants import CHOICE_LABELS
+from ..constants import CHOICE_LABELS, PROMPT_WITHOUT_INPUT
 from ..functions.prompts import (
     answer_continuation,
     answer_label,
@@ -17,8 +17,11 @@ from ..functions.prompts import (
     choice_question,
     in_mode,
 )
+from ..functions.text import canonical_newlines
+from ..session import materialize
 from .lm_eval import Scorer
 from .ordering import rank_before, running_values
+from .skew import lookup
 
 
 def select_subjects(df: DataFrame, subjects: list[str]) -> DataFrame:
@@ -67,8 +70,9 @@ def with_demonstrations(test: DataFrame, dev: DataFrame, shots: int) -> DataFram
     empty = F.array().cast("array<string>")
     if shots == 0:
         return test.withColumn("demos", empty).withColumn("n_demos", F.lit(0))
-    demos = demonstrations(dev, shots)
-    return test.join(demos, "subject", "left").withColumns(
+    # few subjects have most questions, so theirs are sent to the questions and not the other way
+    demos = materialize(demonstrations(dev, shots), "demonstrations")
+    return lookup(materialize(test, "questions"), demos, "subject", "left").withColumns(
         {"demos": F.coalesce("demos", empty), "n_demos": F.coalesce("n_demos", F.lit(0))}
     )
 
@@ -122,14 +126,18 @@ def fit_few_shot(
         return F.transform(F.sequence(F.lit(0), F.size("demos")), attempt)
 
     parts = F.array(F.struct(head.alias("head"), tail.alias("tail")))
-    rows = df.withColumn("__tries", F.explode(F.transform(parts, tries)))
+    return _keep_fitting(df.withColumn("__tries", F.explode(F.transform(parts, tries))), df.columns, block_size, mode)
+
+
+def _keep_fitting(rows: DataFrame, columns: list[str], block_size: int, mode: Column) -> DataFrame:
+    """The last of ``__tries`` that fits, or the first if none does, and its prompt."""
     fitting = F.filter("__tries", lambda t: t["size"] <= block_size)
     best = F.coalesce(F.try_element_at(fitting, F.lit(-1)), F.get("__tries", F.lit(0)))
     rows = rows.withColumn("__best", best)
     return rows.select(
-        *df.columns,
+        *columns,
         F.col("__best.k").alias("effective_shots"),
-        _prompt(head, tail, F.col("__best.k"), mode).alias("prompt"),
+        _prompt(*_parts(), F.col("__best.k"), mode).alias("prompt"),
         F.col("__best.size").alias("prompt_size"),
         (F.col("__best.size") > block_size).alias("prompt_left_truncated"),
     )
@@ -140,7 +148,8 @@ def fit_few_shot_tokens(
 ) -> DataFrame:
     """The same with an Arrow token counter, which higher-order functions cannot call.
 
-    Every row is measured at each of its few shot counts; shot counts are configuration.
+    Every row is measured at each of its few shot counts; shot counts are configuration. It builds
+    all those prompts, so for a whole table and a vocabulary take ``fit_few_shot_pieces``.
     """
     tries = df.withColumn("k", F.explode(F.sequence(F.lit(0), F.size("demos"))))
     tries = tries.withColumn("prompt", _prompt(*_parts(), F.col("k"), mode)).withColumn(
@@ -161,6 +170,23 @@ def fit_few_shot_tokens(
     return df.join(best.select(key, "b.*"), key)
 
 
+def fit_few_shot_pieces(df: DataFrame, block_size: int, mode: Column, count_pieces) -> DataFrame:
+    """``fit_few_shot`` with a learned vocabulary: ``count_pieces`` is its ``piecewise_count_udf``.
+
+    The sizes for all shot counts come from one call a row, so no prompt is built but the one kept.
+    """
+    head, tail = _parts()
+    opening, closing = PROMPT_WITHOUT_INPUT.split("{instruction}")
+    wrapped = mode == "instruction"
+    sizes = count_pieces(
+        F.when(wrapped, F.concat(F.lit(opening), canonical_newlines(head))).otherwise(head),
+        F.when(wrapped, F.transform("demos", canonical_newlines)).otherwise(F.col("demos")),
+        F.when(wrapped, F.concat(canonical_newlines(tail), F.lit(closing))).otherwise(tail),
+    )
+    tries = F.transform(sizes, lambda n, k: F.struct(k.alias("k"), n.alias("size")))
+    return _keep_fitting(df.withColumn("__tries", F.explode(F.array(tries))), df.columns, block_size, mode)
+
+
 def candidates(df: DataFrame, mode: Column) -> DataFrame:
     """One row per item and label: ``label_index, label, continuation``."""
     labels = F.array(
