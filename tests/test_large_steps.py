@@ -102,3 +102,29 @@ def test_a_subject_with_most_questions_is_not_shuffled_to_one_task(spark):
     found = C.with_demonstrations(rows.unionByName(odd), rows.limit(5), 2)
     assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.n_demos for r in found.collect()) == [0] + [2] * 400
+
+
+def columns_of(df, *names: str) -> list[list[str]]:
+    """Output columns of the planned operators with these names."""
+    def walk(node):
+        children = node.children()
+        below = [found for i in range(children.size()) for found in walk(children.apply(i))]
+        return below + [node] if node.nodeName() in names else below
+
+    nodes = walk(df._jdf.queryExecution().sparkPlan())
+    return [[node.output().apply(i).name() for i in range(node.output().size())] for node in nodes]
+
+
+def test_placing_a_stream_sorts_lengths_and_never_texts(spark, docs_of):
+    rows = docs_of([t for t in TEXTS if t] * 3)
+    rows = rows.unionByName(rows.limit(2)).unionByName(rows.limit(1))  # repeated rows keep places of their own
+    learned = train_vocabulary(docs_of(["the cat sat on the mat"] * 5), 290, 2)
+    for vocabulary in (Vocabulary(), learned):
+        placed = D.story_offsets(rows, vocabulary)
+        ordering = columns_of(placed, "Window", "SortMergeJoin")
+        assert ordering and not any({"text", "ids"} & set(names) for names in ordering)
+        assert columns_of(placed, "ShuffledHashJoin")
+        found = sorted((r.start_pos, r.doc_id, r.n_tokens, tuple(r.ids)) for r in placed.collect())
+        ends = [start + n for start, _, n, _ in found]
+        assert [start for start, *_ in found] == [0, *ends[:-1]] and all(len(ids) == n for *_, n, ids in found)
+        assert [doc for _, doc, *_ in found] == sorted(r.doc_id for r in rows.collect())
