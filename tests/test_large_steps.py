@@ -128,3 +128,35 @@ def test_placing_a_stream_sorts_lengths_and_never_texts(spark, docs_of):
         ends = [start + n for start, _, n, _ in found]
         assert [start for start, *_ in found] == [0, *ends[:-1]] and all(len(ids) == n for *_, n, ids in found)
         assert [doc for _, doc, *_ in found] == sorted(r.doc_id for r in rows.collect())
+
+
+def test_windows_inside_a_row_are_not_sent(spark):
+    rng = np.random.default_rng(5)
+    sizes = [int(n) for n in (*rng.integers(0, 9, 30), 700, *rng.integers(1, 40, 30), 400, 17, 33, *rng.integers(0, 3, 9))]
+    ids = rng.integers(0, 260, sum(sizes)).tolist()
+    ends = np.cumsum(sizes).tolist()
+    rows = [(e - n, n, ids[e - n : e]) for n, e in zip(sizes, ends)]
+    stream = spark.createDataFrame(rows, "start_pos BIGINT, n_tokens BIGINT, ids ARRAY<INT>").repartition(3)
+    for block, stride in ((16, 16), (16, 8), (16, 3), (16, 1), (5, 20), (40, 7)):
+        got = sorted((r.start, r.inputs, r.targets) for r in D.shifted_windows(stream, block, stride).collect())
+        assert got == [(s, ids[s : s + block], ids[s + 1 : s + block + 1]) for s in range(0, len(ids) - block, stride)]
+        if stride > block:
+            continue
+        sent = sorted((r.window_id, r.context_start, r.ignored, r.inputs, r.targets) for r in E.window_tokens(stream, block, stride).collect())
+        want = []
+        for w, first in enumerate(range(1, len(ids), stride)):
+            end = min(first + stride, len(ids))
+            at = max(0, end - 1 - block)
+            skip = first - at - 1
+            want.append((w, at, skip, ids[at : end - 1], [-100] * skip + ids[at + 1 + skip : end]))
+        assert sent == want
+
+
+def test_what_crosses_rows_is_bounded_by_the_block(spark):
+    rows = [(0, 9000, list(range(9000))), (9000, 7000, list(range(7000)))]
+    stream = spark.createDataFrame(rows, "start_pos BIGINT, n_tokens BIGINT, ids ARRAY<INT>")
+    start, stop = F.col("start_pos"), F.col("start_pos") + F.col("n_tokens")
+    begin, end = (lambda k: k * 8), (lambda k: k * 8 + 17)
+    rows = D._touching(stream, F.greatest(F.lit(0), F.ceil((start - 16) / 8)), F.floor((stop - 1) / 8), begin, end, ())
+    pieces = D._edge_pieces(rows, begin, end, 512, ()).collect()
+    assert 0 < sum(len(p.piece) for p in pieces) < 200
