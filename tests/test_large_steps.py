@@ -160,3 +160,20 @@ def test_what_crosses_rows_is_bounded_by_the_block(spark):
     rows = D._touching(stream, F.greatest(F.lit(0), F.ceil((start - 16) / 8)), F.floor((stop - 1) / 8), begin, end, ())
     pieces = D._edge_pieces(rows, begin, end, 512, ()).collect()
     assert 0 < sum(len(p.piece) for p in pieces) < 200
+
+
+def test_samples_join_prompts_without_their_ids(spark):
+    from lexweave.plans.flows import generate_samples
+
+    prompts = spark.createDataFrame([(3, "a", "x" * 50), (9, "b", "<eos>y"), (5, "c", "")], "ord BIGINT, id STRING, prompt STRING")
+    table = generate_samples(
+        prompts, Vocabulary(), lambda plan: plan.select("sample_index", F.array(F.lit(4)).alias("new_ids")),
+        mode="completion", block_size=8, samples_per_prompt=2, seed=1,
+    )
+    asked = table.select("id", "sample", "sample_index", "seed", "prompt_tokens", "new_ids")
+    scanned = [names for names in columns_of(asked, "Scan parquet ") if names]
+    assert scanned and not any("prompt_ids" in names for names in scanned)
+    assert sorted(map(tuple, asked.collect())) == sorted(
+        (name, s, 2 * place + s - 1, 2 * place + s, size, [4])
+        for place, (name, size) in enumerate((("a", 50), ("c", 0), ("b", 2))) for s in (1, 2)
+    )
